@@ -8,10 +8,18 @@ Historical and incremental feeds are date windows of orders and shipments. The s
 windows overlap by two months, as an extract that resends late transactions would.
 """
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+# Unevaluated scans of each session, so that a schema is read once per file.
+_scans: WeakKeyDictionary = WeakKeyDictionary()
+
+# Tables whose rows the feeds multiply.
+LARGE = ("customer", "part", "lineitem")
+
 CUT = "{ntz} '2000-01-01 00:00:00'"
 RESENT_FROM = "{ntz} '1999-11-01 00:00:00'"
 
@@ -135,10 +143,21 @@ def feed_sql(name: str, ntz: str) -> str:
     return FEEDS[name].format(ntz=ntz)
 
 
+def _spread(scan: DataFrame) -> DataFrame:
+    """Rows over all cores where a file is too small to split, as the test files are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def read_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Make the test tables visible to the feeds."""
+    """Make the test tables visible to the feeds under their names."""
+    scans = _scans.setdefault(spark, {})
     for name in TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+        path = f"{sf_dir}/{name}.parquet"
+        if path not in scans:
+            scan = spark.read.parquet(path)
+            scans[path] = _spread(scan) if name in LARGE else scan
+        scans[path].createOrReplaceTempView(name)
 
 
 def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

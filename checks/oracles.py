@@ -73,7 +73,7 @@ def plain_hash(columns):
 def dedup_order(feed, ingested=True):
     payload = [c for c in feed_columns(feed) if c != KEYS[entity_of(feed)]]
     newest = ["ingested_at desc nulls last"] if ingested else []
-    tie = [f"{marked_hash(payload)} desc"]
+    tie = [f"{c} desc nulls last" for c in payload]
     if entity_of(feed) == "product":
         return ["try_cast(last_updated as date) desc nulls last", *newest, *tie]
     if entity_of(feed) == "customer" and "version" not in payload:

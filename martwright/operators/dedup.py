@@ -4,15 +4,15 @@ Every operator ranks rows with `row_number` and keeps rank 1. Spark turns that i
 per-task top-1 ahead of the shuffle (WindowGroupLimit), so a key with a third of all
 rows sends at most one row per task across the network.
 
-Orders end with a digest of the payload: rows that still tie have equal payloads, and
-a rerun keeps the same one.
+Orders end with the payload columns themselves, which are compared only where all else
+ties: rows that still tie have equal payloads, and a rerun keeps the same one.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.contracts import PROVENANCE
-from martwright.functions.hashing import payload_hash, row_hash
+from martwright.functions.hashing import payload_hash
 from martwright.functions.parsing import to_day
 
 
@@ -30,8 +30,7 @@ def _newest_ingest(df: DataFrame) -> list[Column]:
 
 
 def _tie_break(df: DataFrame, key: str) -> list[Column]:
-    payload = payload_columns(df, key)
-    return [row_hash(payload).desc()] if payload else []
+    return [F.col(c).desc() for c in payload_columns(df, key)]
 
 
 def latest_by_version(df: DataFrame, key: str) -> DataFrame:

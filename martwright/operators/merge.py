@@ -94,7 +94,9 @@ def _with_start(source: DataFrame, as_of: datetime.date | str | None) -> DataFra
     return source.withColumn("effective_start_date", F.coalesce(given, default))
 
 
-def _drop_settled(versions: DataFrame, target: DataFrame) -> DataFrame:
+def _drop_settled(
+    versions: DataFrame, target: DataFrame, tracked: list[str]
+) -> DataFrame:
     """Drop versions from before the current one that the history already shows.
 
     A repeated batch brings them again. A version whose attributes differ from those
@@ -103,7 +105,7 @@ def _drop_settled(versions: DataFrame, target: DataFrame) -> DataFrame:
     history = matching(target, versions, CUSTOMER_KEY)
     shown = history.select(
         F.col(CUSTOMER_KEY).alias("_id"),
-        row_hash(tracked_columns(versions)).alias("_shown_hash"),
+        row_hash(tracked).alias("_shown_hash"),
         F.col("effective_start_date").alias("_from"),
         F.col("effective_end_date").alias("_to"),
     )
@@ -134,7 +136,9 @@ def _chain_versions(dated: DataFrame, target: DataFrame) -> DataFrame:
         ],
     )
     open_versions = _drop_settled(
-        classify_changes(last_of_day, target.filter("is_current")), target
+        classify_changes(last_of_day, target.filter("is_current")),
+        target,
+        tracked_columns(dated),
     )
     by_start = Window.partitionBy(CUSTOMER_KEY).orderBy("effective_start_date")
     before = F.coalesce(F.lag("_hash").over(by_start), F.col("_known_hash"))

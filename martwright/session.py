@@ -9,6 +9,9 @@ SETTINGS = {
     # A hot join key is split at run time, also where the split costs a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes. Projections of a wide feed exceed
+    # that when fused into one method; Spark then splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -21,9 +21,12 @@ class SnapshotTable:
 
     def published(self) -> int:
         """Newest visible snapshot, 0 for a table never published."""
-        if not self._exists(f"{self.path}/log"):
-            return 0
-        log = self.spark.read.schema("snapshot INT").json(f"{self.path}/log")
+        try:
+            log = self.spark.read.schema("snapshot INT").json(f"{self.path}/log")
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return 0
+            raise
         return log.agg(F.max("snapshot")).first()[0] or 0
 
     def write(self, df: DataFrame, part: str = "rows") -> DataFrame:
@@ -69,12 +72,3 @@ class SnapshotTable:
         if not number:
             raise FileNotFoundError(f"nothing published at {self.path}")
         return number
-
-    def _exists(self, folder: str) -> bool:
-        try:
-            self.spark.read.schema("value STRING").text(folder)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
