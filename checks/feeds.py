@@ -144,9 +144,9 @@ def feed_sql(name: str, ntz: str) -> str:
 
 
 def _spread(scan: DataFrame) -> DataFrame:
-    """Rows over all cores where a file is too small to split, as the test files are."""
+    """Rows over all cores where a table has few files, as the test tables have one."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
 
 
 def read_tables(spark: SparkSession, sf_dir: str) -> None:
