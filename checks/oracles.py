@@ -312,7 +312,7 @@ def oracle_sql() -> dict[str, str]:
         "landing_gate": f"select dataset, n as expected, n as actual, 0 as difference, 'PASS' as status from ({counts(six)}) t",
         "medallion_e2e": with_sql(ledger_ctes(False), margin_sql("ledger")),
         "register_star": with_sql(
-            star_ctes(False),
+            star_ctes(),
             "select 'dim_customer' as table_name, count(*) + 1 as n_rows from customers union all select 'dim_product', count(*) + 1 from products "
             "union all select 'dim_promotion', count(*) from promotions union all select 'dim_date', count(*) from dates "
             "union all select 'fact_sales', count(*) from ledger",

@@ -29,7 +29,10 @@ def list_feed_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
 
 
 def feed_folders(spark: SparkSession, root: str, entity: str) -> dict[str, list[str]]:
-    """Selected files grouped by the folder that delivered them."""
+    """Selected files grouped by the folder that delivered them.
+
+    Only paths reach the driver, which lists a scan's files in any case.
+    """
     folders: dict[str, list[str]] = {}
     for row in list_feed_files(spark, root, entity).select("path").collect():
         folders.setdefault(row.path.rsplit("/", 1)[0], []).append(row.path)
