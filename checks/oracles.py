@@ -278,7 +278,6 @@ def oracle_sql() -> dict[str, str]:
     number_text = f"case l_partkey % {len(spellings)} " + " ".join(f"when {i} then {s}" for i, s in enumerate(spellings)) + " end"
     customer_columns = ", ".join(COLUMNS["customer"])
     product_columns = ", ".join(COLUMNS["product"])
-    hist_columns = ", ".join(COLUMNS["customer"])
 
     def batch(load):
         return f"sha256('martwright|sales|{load}')"
@@ -388,7 +387,7 @@ def oracle_sql() -> dict[str, str]:
         "scalar_date_attributes": "select o_orderkey, " + ", ".join(f"{e} as {n}" for n, e in calendar("o_orderdate").items()) + " from orders",
         "dim_customer": with_sql(
             customers,
-            f"select {hist_columns}, ingested_at, customer_sk, effective_start_date, effective_end_date, is_current from customers union all by name select "
+            f"select {customer_columns}, ingested_at, customer_sk, effective_start_date, effective_end_date, is_current from customers union all by name select "
             + ", ".join(("0" if c in INTS else "cast(null as boolean)" if c in FLAGS else "'Unknown'") + f" as {c}" for c in COLUMNS["customer"])
             + ", null as ingested_at, 0 as customer_sk, null as effective_start_date, null as effective_end_date, true as is_current",
         ),

@@ -44,7 +44,7 @@ def test_audit_file_must_have_its_columns(spark):
         files.read_audit(spark, folder)
 
 
-def product_file(spark, folder, columns, value, last="x"):
+def product_file(spark, folder, columns, value):
     df = spark.range(1).select(*[F.lit(f"{value}-{c}").alias(c) for c in columns])
     files.write_text_csv(df.coalesce(1), folder)
 
