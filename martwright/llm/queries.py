@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import packing
+from martwright.llm import packing, token_store
+from martwright.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -25,3 +26,15 @@ def table(spark, sf_dir, name) -> DataFrame:
 def op2_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op9_token_store(spark, sf_dir):
+    folder = new_folder(spark, "ids")
+    token_store.write(table(spark, sf_dir, "documents"), WORD_BPE, folder, end_id=2)
+    return token_store.read(spark, folder).select(
+        "doc_id",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )

@@ -2,12 +2,16 @@
 
 Such a tokenizer treats what lies between white space on its own, so each distinct word
 of a slice is encoded once by the library and its ids are put in place for every
-occurrence. Words go to the library in lines with a mark between them; the mark's id
-shows where a word's ids end. A word that holds the mark's character is encoded alone.
+occurrence. Plain words go to the library in lines: the ids that end a pre-token show
+where a word's ids end, as a plain word is letters, marks, or letters and then marks.
+Other words go in lines with a mark between them, and those that hold the mark's
+character alone. A worker keeps the ids of the first CACHED distinct words it meets.
 """
 
 import os
+import re
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,62 +19,99 @@ import pyarrow as pa
 from martwright.llm.common import Words, gather
 
 MARK = "\x7f"
+CACHED = 300_000
 _LINE_WORDS = 2000
+# Letters that lower-casing and composition leave letters; marks the tokenizer keeps together.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?|#$%&*()\-]*)").fullmatch
+
+
+class _Tokenizer:
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        mark = self.one(MARK)
+        apart = self.one(f"a {MARK} a\n{MARK}")
+        if len(mark) != 1 or apart.count(mark[0]) != 2:
+            raise ValueError(f"{path} does not drop white space or splits the mark")
+        self.mark = mark[0]
+        vocabulary = self.library.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self.index: dict[str, int] = {}
+        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def one(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def lines(self, words: list[str], between: str) -> np.ndarray:
+        lines = [
+            between.join([*words[i : i + _LINE_WORDS], ""])
+            for i in range(0, len(words), _LINE_WORDS)
+        ]
+        encoded = self.library.encode_batch_fast(lines, add_special_tokens=False)
+        parts = [np.array(line.ids, dtype=np.uint32) for line in encoded]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words and the number of each word's ids."""
+        plain, parts, other = [], [], []
+        for i, word in enumerate(words):
+            match = _PLAIN(word)
+            if match:
+                plain.append(i)
+                parts.append((match[1] != "") + (match[2] != ""))
+            else:
+                other.append(i)
+        flat = self.lines([words[i] for i in plain], " ")
+        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        last = np.concatenate([[0], ends])[np.cumsum(parts, dtype=np.int64)]
+        counts = np.zeros(len(words), np.int64)
+        counts[plain] = np.diff(last, prepend=0)
+        marked = [i for i in other if MARK not in words[i]]
+        more = self.lines([words[i] for i in marked], f" {MARK} ")
+        at = np.flatnonzero(more == self.mark)
+        counts[marked] = np.diff(at, prepend=-1) - 1
+        alone = [i for i in other if MARK in words[i]]
+        single = [np.array(self.one(words[i]), dtype=np.uint32) for i in alone]
+        counts[alone] = [len(ids) for ids in single]
+        order = np.array([*plain, *marked, *alone], dtype=np.int64)
+        flat = np.concatenate([flat, np.delete(more, at), *single])
+        lengths = counts[order]
+        starts = np.empty(len(words), np.int64)
+        starts[order] = np.cumsum(lengths) - lengths
+        return gather(flat, starts, counts), counts
+
+    def distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, count): the ids of word i begin at start[i] in ids."""
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        flat, counts = self.encode([words[i] for i in new])
+        at[new] = len(self.counts) + np.arange(len(new))
+        all_flat = np.concatenate([self.flat, flat])
+        all_counts = np.concatenate([self.counts, counts])
+        starts = np.cumsum(all_counts) - all_counts
+        kept = min(CACHED - len(self.index), len(new))
+        if kept > 0:
+            base = len(self.counts)
+            self.index.update((words[i], base + k) for k, i in enumerate(new[:kept]))
+            self.counts = all_counts[: base + kept]
+            self.flat = all_flat[: len(self.flat) + counts[:kept].sum()]
+        return all_flat, starts[at], all_counts[at]
 
 
 @lru_cache(maxsize=4)
-def load(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    mark = tokenizer.encode(MARK, add_special_tokens=False).ids
-    apart = tokenizer.encode(f"a {MARK} a\n{MARK}", add_special_tokens=False).ids
-    if len(mark) != 1 or apart.count(mark[0]) != 2:
-        raise ValueError(f"{path} does not drop white space or splits the mark")
-    return tokenizer, mark[0]
-
-
-def _encode_distinct(path: str, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all distinct words and the number of ids of each."""
-    tokenizer, mark = load(path)
-    odd = [i for i, word in enumerate(distinct) if MARK in word]
-    for i in odd:
-        distinct[i] = ""
-    lines = [
-        f" {MARK} ".join([*distinct[i : i + _LINE_WORDS], ""])
-        for i in range(0, len(distinct), _LINE_WORDS)
-    ]
-    parts = [
-        np.array(line.ids, dtype=np.uint32)
-        for line in tokenizer.encode_batch_fast(lines, add_special_tokens=False)
-    ]
-    flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-    marks = np.flatnonzero(flat == mark)
-    counts = np.diff(marks, prepend=-1) - 1
-    ids = np.delete(flat, marks)
-    return ids, counts
+def load(path: str) -> _Tokenizer:
+    return _Tokenizer(path)
 
 
 def token_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, one after the other, and the number of ids of each text."""
     words = Words(texts)
     index, distinct = words.encoded()
-    spelled = [word.decode() for word in distinct.to_pylist()]
-    odd = {i: word for i, word in enumerate(spelled) if MARK in word}
-    ids, counts = _encode_distinct(path, spelled)
-    if odd:
-        tokenizer, _ = load(path)
-        ends = np.cumsum(counts)
-        pieces = np.split(ids, ends[:-1])
-        for i, word in odd.items():
-            pieces[i] = np.array(
-                tokenizer.encode(word, add_special_tokens=False).ids, dtype=np.uint32
-            )
-        ids = np.concatenate(pieces).astype(np.uint32)
-        counts = np.array([len(piece) for piece in pieces])
-    starts = np.cumsum(counts) - counts
+    flat, starts, counts = load(path).distinct(distinct.cast(pa.large_string()).to_pylist())
     lengths = counts[index]
     ends = np.concatenate([[0], np.cumsum(lengths)])
     per_text = ends[words.first[1:]] - ends[words.first[:-1]]
-    return gather(ids, starts[index], lengths), per_text
+    return gather(flat, starts[index], lengths), per_text
