@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import packing, token_store
+from martwright.llm import packing, simhash_golay, token_store
 from martwright.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,13 @@ def op2_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op8_simhash_golay(spark, sf_dir):
+    found = simhash_golay.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+    fingerprint = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", fingerprint, "component_id")
+
+
 @query
 def op9_token_store(spark, sf_dir):
     folder = new_folder(spark, "ids")
