@@ -6,7 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import packing, simhash_golay, token_store
+from martwright.llm import (
+    isolation_rules,
+    packing,
+    quality_nbsvm,
+    simhash_golay,
+    token_store,
+)
 from martwright.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +34,26 @@ def op2_packing(spark, sf_dir):
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op3_quality_nbsvm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_nbsvm.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id",
+        quality_nbsvm.is_held_out().alias("held_out"),
+        quality_nbsvm.score_column(model).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op7_isolation_rules(spark, sf_dir):
+    stats = isolation_rules.measured(table(spark, sf_dir, "documents"))
+    rules = isolation_rules.fit(stats, table(spark, sf_dir, "labels"))
+    judged = isolation_rules.judge(stats, rules)
+    return judged.select("doc_id", *isolation_rules.BASE, "base_failed", "kept", "anomaly")
+
+
 @query
 def op8_simhash_golay(spark, sf_dir):
     found = simhash_golay.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
