@@ -11,6 +11,7 @@ from martwright.llm import (
     packing,
     quality_nbsvm,
     simhash_golay,
+    substring_debruijn,
     token_store,
 )
 from martwright.llm.common import new_folder
@@ -46,6 +47,12 @@ def op3_quality_nbsvm(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@query
+def op4_substring_debruijn(spark, sf_dir):
+    cleaned = substring_debruijn.remove_repeats(table(spark, sf_dir, "documents"), window=35)
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_isolation_rules(spark, sf_dir):
     stats = isolation_rules.measured(table(spark, sf_dir, "documents"))
