@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -127,3 +128,30 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     at = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
     at += np.arange(ends[-1], dtype=kind)
     return flat[at]
+
+
+class DistinctIds:
+    """Ids of distinct words by a given encoder, of which the first `most` words met are
+    remembered, so that a worker's memory stays bounded."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
+        self.index: dict[str, int] = {}
+        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, count): the ids of word i begin at start[i] in ids."""
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        flat, counts = self.encode([words[i] for i in new])
+        at[new] = len(self.counts) + np.arange(len(new))
+        all_flat = np.concatenate([self.flat, flat])
+        all_counts = np.concatenate([self.counts, counts])
+        starts = np.cumsum(all_counts) - all_counts
+        kept = min(self.most - len(self.index), len(new))
+        if kept > 0:
+            base = len(self.counts)
+            self.index.update((words[i], base + k) for k, i in enumerate(new[:kept]))
+            self.counts = all_counts[: base + kept]
+            self.flat = all_flat[: len(self.flat) + counts[:kept].sum()]
+        return all_flat, starts[at], all_counts[at]

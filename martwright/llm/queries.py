@@ -10,6 +10,7 @@ from martwright.llm import (
     isolation_rules,
     packing,
     quality_nbsvm,
+    sentencepiece_prefix,
     simhash_golay,
     substring_debruijn,
     token_store,
@@ -18,6 +19,7 @@ from martwright.llm.common import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(run):
@@ -78,3 +80,14 @@ def op9_token_store(spark, sf_dir):
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@query
+def op10_sentencepiece_prefix(spark, sf_dir):
+    trip = sentencepiece_prefix.round_trip(table(spark, sf_dir, "documents"), PIECE_BPE)
+    return trip.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

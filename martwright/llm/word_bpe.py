@@ -11,12 +11,11 @@ character alone. A worker keeps the ids of the first CACHED distinct words it me
 import os
 import re
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 
-from martwright.llm.common import Words, gather
+from martwright.llm.common import DistinctIds, Words, gather
 
 MARK = "\x7f"
 CACHED = 600_000
@@ -39,8 +38,7 @@ class _Tokenizer:
         vocabulary = self.library.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self.index: dict[str, int] = {}
-        self.flat, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.distinct = DistinctIds(self.encode, CACHED)
 
     def one(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
@@ -83,23 +81,6 @@ class _Tokenizer:
         starts[order] = np.cumsum(lengths) - lengths
         return gather(flat, starts, counts), counts
 
-    def distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, start, count): the ids of word i begin at start[i] in ids."""
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(at < 0)
-        flat, counts = self.encode([words[i] for i in new])
-        at[new] = len(self.counts) + np.arange(len(new))
-        all_flat = np.concatenate([self.flat, flat])
-        all_counts = np.concatenate([self.counts, counts])
-        starts = np.cumsum(all_counts) - all_counts
-        kept = min(CACHED - len(self.index), len(new))
-        if kept > 0:
-            base = len(self.counts)
-            self.index.update((words[i], base + k) for k, i in enumerate(new[:kept]))
-            self.counts = all_counts[: base + kept]
-            self.flat = all_flat[: len(self.flat) + counts[:kept].sum()]
-        return all_flat, starts[at], all_counts[at]
-
 
 @lru_cache(maxsize=4)
 def load(path: str) -> _Tokenizer:
