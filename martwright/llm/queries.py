@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm import (
+    embedding_e8,
     isolation_rules,
     packing,
     quality_nbsvm,
@@ -55,6 +56,13 @@ def op4_substring_debruijn(spark, sf_dir):
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op5_embedding_e8(spark, sf_dir):
+    found = embedding_e8.near_duplicates(table(spark, sf_dir, "embeddings"), least_cosine=0.98)
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    return found.withColumn("kept", kept)
+
+
 @query
 def op7_isolation_rules(spark, sf_dir):
     stats = isolation_rules.measured(table(spark, sf_dir, "documents"))
