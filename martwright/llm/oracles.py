@@ -1,5 +1,53 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from martwright.llm import license_rules
+
+_SPACE = r"[\x20\x09\x0B-\x0D]"
+
+
+def _reading(text: str) -> str:
+    """Numbers of a text's sentences, each between its own spaces."""
+    upper, lower = license_rules.UPPER, license_rules.LOWER
+    plain = f"trim(regexp_replace(translate(s, '{upper}', '{lower}'), '[^a-z0-9]+', ' ', 'g'))"
+    cut = f"string_split(regexp_replace({text}, '([.;:!?]){_SPACE}+', '\\1' || chr(10), 'g'), chr(10))"
+    said = f"list_filter(list_transform({cut}, lambda s: {plain}), lambda s: regexp_matches(s, '[a-z]'))"
+    return f"list_transform({said}, lambda s: coalesce(known.numbers[s], 0))"
+
+
+def _op1() -> str:
+    numbers = license_rules.numbered()
+    keys = ", ".join(f"'{s}'" for s in numbers)
+    values = ", ".join(str(n) for n in numbers.values())
+    steps, before = [], "line_0"
+    for i, (name, pattern) in enumerate(license_rules.rule_patterns(), start=1):
+        steps.append(
+            f"line_{i} as (select doc_id, n_sentences, n_known, replace(line, '{pattern}', ' 0 ') as line,"
+            f" case when contains(line, '{pattern}') then list_append(found, '{name}') else found end as found"
+            f" from {before})"
+        )
+        before = f"line_{i}"
+    return f"""
+with known as (select map([{keys}], [{values}]) as numbers),
+readings as (
+  select doc_id, {_reading("coalesce(text, '')")} as by_line,
+         {_reading("translate(replace(coalesce(text, ''), chr(10) || chr(10), chr(1)), chr(10) || chr(1), ' ' || chr(10))")} as unwrapped
+  from documents, known
+),
+lines as (
+  select doc_id, by_line, unnest([by_line, unwrapped]) as numbers from readings
+),
+line_0 as (
+  select doc_id, len(by_line) as n_sentences, len(list_filter(by_line, lambda n: n > 0)) as n_known,
+         list_aggregate(list_transform(numbers, lambda n: ' ' || n || ' '), 'string_agg', '') as line,
+         []::varchar[] as found
+  from lines
+),
+{", ".join(steps)}
+select doc_id, n_sentences, n_known,
+       coalesce(array_to_string(list_sort(list_distinct(flatten(list(found)))), ','), '') as licences
+from {before} group by doc_id, n_sentences, n_known
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_license_rules": _op1()}

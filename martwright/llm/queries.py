@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from martwright.llm import (
     embedding_e8,
     isolation_rules,
+    license_rules,
     packing,
     quality_nbsvm,
     sentencepiece_prefix,
@@ -32,6 +33,17 @@ def table(spark, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_license_rules(spark, sf_dir):
+    scanned = license_rules.scan(table(spark, sf_dir, "documents"))
+    return scanned.select(
+        "doc_id",
+        "n_sentences",
+        F.size("known").alias("n_known"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
 @query
 def op2_packing(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=1)
