@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm import (
+    backoff_lm,
     embedding_e8,
     isolation_rules,
     license_rules,
@@ -65,7 +66,12 @@ def op3_quality_nbsvm(spark, sf_dir):
 @query
 def op4_substring_debruijn(spark, sf_dir):
     cleaned = substring_debruijn.remove_repeats(table(spark, sf_dir, "documents"), window=35)
-    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return cleaned.select(
+        "doc_id",
+        "result.n_words",
+        "result.n_removed",
+        F.sha2("result.kept", 256).alias("kept_sha256"),
+    )
 
 
 @query
@@ -75,6 +81,13 @@ def op5_embedding_e8(spark, sf_dir):
     return found.withColumn("kept", kept)
 
 
+@query
+def op6_backoff_lm(spark, sf_dir):
+    scored = backoff_lm.score(table(spark, sf_dir, "documents"), order=3)
+    mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6))
+    return scored.select("doc_id", "n_words", "n_full", mean.alias("mean_log_score"))
+
+
 @query
 def op7_isolation_rules(spark, sf_dir):
     stats = isolation_rules.measured(table(spark, sf_dir, "documents"))
