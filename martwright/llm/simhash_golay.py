@@ -196,3 +196,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS)
     names = member.groupBy("component").agg(F.min("first").alias("component_id"))
     named = stored(member.join(names, "component").select("print", "component_id"), "members")
     return table.join(named, "print").select("doc_id", "print", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """Of each component of `docs` the row with the smallest doc_id, with all its columns;
+    of rows with one doc_id the least. Rows without a doc_id cannot be named and stay."""
+    names = docs.columns
+    found = near_duplicates(docs, shingle, max_bits)
+    first = stored(found.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
+    rows = docs.select("doc_id", F.struct(*names).alias("row"))
+    named = rows.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
+    return named.select("row.*").unionByName(docs.filter("doc_id is null"))

@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from martwright.llm.common import Words, binary_array, stored, text_slices
 
@@ -213,9 +214,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
 def _removal_task(window: int, bits: int):
     def task(batches):
         for batch in batches:
-            for row, texts in text_slices(batch.column(1)):
+            for row, texts in text_slices(batch.column(0)):
                 words = Words(texts)
-                own = batch.column(2).slice(row, len(texts))
+                own = batch.column(1).slice(row, len(texts))
                 sizes = np.nan_to_num(
                     own.value_lengths().to_numpy(zero_copy_only=False).astype(float)
                 ).astype(np.int64)
@@ -228,14 +229,15 @@ def _removal_task(window: int, bits: int):
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + window, -1)
                 removed = np.cumsum(edge)[:-1] > 0
-                yield _kept_batch(batch.column(0).slice(row, len(texts)), words, removed)
+                carried = [column.slice(row, len(texts)) for column in batch.columns[2:]]
+                yield _kept_batch(carried, words, removed)
 
     return task
 
 
-def _kept_batch(doc_ids, words: Words, removed: np.ndarray):
+def _kept_batch(carried, words: Words, removed: np.ndarray):
     """Kept words joined by one space, and the removed ranges of words."""
-    n = len(doc_ids)
+    n = len(words.counts)
     kept = np.flatnonzero(~removed)
     per_text = np.bincount(words.text[kept], minlength=n)
     lengths = (words.ends - words.starts)[kept]
@@ -268,27 +270,39 @@ def _kept_batch(doc_ids, words: Words, removed: np.ndarray):
         ),
     )
     return pa.RecordBatch.from_arrays(
-        [doc_ids, pa.array(words.counts), pa.array(words.counts - per_text), text, spans],
-        ["doc_id", "n_words", "n_removed", "kept", "spans"],
+        [pa.array(words.counts), pa.array(words.counts - per_text), text, spans, *carried],
+        ["n_words", "n_removed", "kept", "spans", *(f"carried_{i}" for i in range(len(carried)))],
     )
 
 
-def with_text_key(docs: DataFrame) -> DataFrame:
+def _with_text_key(docs: DataFrame, *carried: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"))
-
-
-def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (remaining words joined by one space) and spans
-    (removed ranges of words) of `docs` (doc_id, text)."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keyed = with_text_key(docs)
-    lists = repeated_windows(keyed, window, anchor).groupBy("doc_id", "text_key")
-    lists = lists.agg(F.collect_list(F.struct("place", "mask")).alias("own"))
+    more = (F.col(name).alias(f"carried_{i}") for i, name in enumerate(carried))
+    return docs.select("doc_id", F.xxhash64(text).alias("text_key"), text.alias("text"), *more)
+
+
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, carry: tuple[str, ...] = ("doc_id",)
+) -> DataFrame:
+    """n_words, n_removed, kept (remaining words joined by one space) and spans (removed
+    ranges of words) of `docs` (doc_id, text), as a struct `result` beside the columns of
+    `docs` named in carry."""
+    keyed = _with_text_key(docs, *carry)
+    found = repeated_windows(_with_text_key(docs), window, anchor).groupBy("doc_id", "text_key")
+    lists = found.agg(F.collect_list(F.struct("place", "mask")).alias("own"))
     same = keyed.doc_id.eqNullSafe(lists.doc_id) & (keyed.text_key == lists.text_key)
-    texts = keyed.join(lists, same, "left").select(keyed.doc_id, keyed.text, "own")
-    schema = (
-        f"doc_id {kind}, n_words long, n_removed long, kept string,"
-        " spans array<struct<place: bigint, length: bigint>>"
+    names = [f"carried_{i}" for i in range(len(carry))]
+    texts = keyed.join(lists, same, "left").select(keyed.text, "own", *names)
+    results = ("n_words", "n_removed", "kept", "spans")
+    schema = StructType(
+        [
+            StructField("n_words", LongType()),
+            StructField("n_removed", LongType()),
+            StructField("kept", StringType()),
+            StructField("spans", ArrayType(StructType([StructField(n, LongType()) for n in ("place", "length")]))),
+            *(StructField(a, docs.schema[b].dataType) for a, b in zip(names, carry, strict=True)),
+        ]
     )
-    return texts.mapInArrow(_removal_task(window, window - anchor + 1), schema)
+    cleaned = texts.mapInArrow(_removal_task(window, window - anchor + 1), schema)
+    back = (F.col(a).alias(b) for a, b in zip(names, carry, strict=True))
+    return cleaned.select(*back, F.struct(*results).alias("result"))
