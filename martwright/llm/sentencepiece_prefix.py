@@ -25,15 +25,16 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from martwright.llm.common import DistinctIds, binary_array, gather, text_slices
 
 SPACE = "▁"
 CACHED = 300_000
 _BREAK = "\x00"
-_UNIT_CHARS = 1_000_000
+_UNIT_CHARS = 400_000
+_SLICE = 4_000_000
+_DECODED = 100  # documents decoded at once
 _FIRST, _UNKNOWN = -2, -3  # in place of a last piece
 _NEVER = np.int64(1) << 40
 
@@ -313,29 +314,30 @@ def load(path: str) -> Model:
     return Model(path)
 
 
-def encoded_column(model_path: str, text: str = "text") -> Column:
-    """A struct of ids (little-endian unsigned 32-bit integers, with begin and end ids)
-    and decoded, the text the library's decode() gives for them."""
+def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
+    """doc_id, ids (little-endian unsigned 32-bit integers, with begin and end ids) and
+    decoded, the text the library's decode() gives for them, of `docs` (doc_id, text)."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    @F.arrow_udf("struct<ids: binary, decoded: string>")
-    def encode(column: pa.Array) -> pa.Array:
-        model, parts = load(model_path), []
-        for _, texts in text_slices(column):
-            ids, counts = model.encode(texts)
-            edges = np.concatenate([[0], np.cumsum(counts)])
-            lists = [ids[a:b].tolist() for a, b in zip(edges, edges[1:], strict=False)]
-            decoded = pa.array(model.library.decode(lists, num_threads=1), pa.string())
-            parts.append(
-                pa.StructArray.from_arrays(
-                    [binary_array(ids.astype("<u4"), edges), decoded], names=["ids", "decoded"]
+    def task(batches):
+        model = load(model_path)
+        for batch in batches:
+            for row, texts in text_slices(batch.column(1), _SLICE):
+                ids, counts = model.encode(texts)
+                edges = np.concatenate([[0], np.cumsum(counts)])
+                decoded: list[str] = []
+                for first in range(0, len(texts), _DECODED):
+                    part = edges[first : first + _DECODED + 1]
+                    lists = [ids[a:b].tolist() for a, b in zip(part, part[1:], strict=False)]
+                    decoded += model.library.decode(lists, num_threads=1)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(row, len(texts)),
+                        binary_array(ids.astype("<u4", copy=False), edges),
+                        pa.array(decoded, pa.string()),
+                    ],
+                    ["doc_id", "ids", "decoded"],
                 )
-            )
-        empty = pa.array([], pa.struct([("ids", pa.binary()), ("decoded", pa.string())]))
-        return pa.concat_arrays(parts) if parts else empty
-
-    return encode.asNondeterministic()(F.col(text))
 
-
-def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, ids and decoded of `docs` (doc_id, text)."""
-    return docs.select("doc_id", encoded_column(model_path).alias("e")).select("doc_id", "e.*")
+    schema = f"doc_id {kind}, ids binary, decoded string"
+    return docs.select("doc_id", "text").mapInArrow(task, schema)
