@@ -21,8 +21,11 @@ counted as often as given; a null doc_id is a document like any other; an empty
 gives no rows.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,25 +74,35 @@ class _Grams:
         return self.place >= n - 1
 
 
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Lowest bytes of all values, then their second bytes, and so on."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def _values(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
 def _packed(counts: np.ndarray) -> bytes:
-    """A byte for the width of a count, then the counts."""
-    width = next(w for w in (1, 2, 4, 8) if counts.max(initial=0) < 1 << (8 * w))
-    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+    """Counts, most of which are small and alike."""
+    return zlib.compress(_planes(counts), 1)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    return np.frombuffer(blob, f"<u{blob[0]}", -1, 1).astype(np.int64)
+    return _values(np.frombuffer(zlib.decompress(blob), np.uint8)).astype(np.int64)
 
 
-def _planes(grams: np.ndarray) -> bytes:
-    """Sorted hashes as differences, by bytes, so that their zeros lie together."""
-    steps = np.diff(grams, prepend=_U(0)).astype("<u8")
-    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+def _sorted_packed(grams: np.ndarray) -> bytes:
+    """Sorted hashes as differences: their low five bytes as they are, the rest, in which
+    there is little, compressed."""
+    planes = _planes(np.diff(grams, prepend=_U(0)))
+    return planes[:5].tobytes() + zlib.compress(planes[5:], 1)
 
 
-def _from_planes(blob: bytes) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=_U)
+def _sorted_unpacked(blob: bytes, size: int) -> np.ndarray:
+    rest = zlib.decompress(memoryview(blob)[5 * size :])
+    steps = np.concatenate([np.frombuffer(blob, np.uint8, 5 * size), np.frombuffer(rest, np.uint8)])
+    return np.cumsum(_values(steps), dtype=_U)
 
 
 def _requests(chunk: int, n: int, grams: np.ndarray, counts: np.ndarray, buckets: int):
@@ -97,7 +110,7 @@ def _requests(chunk: int, n: int, grams: np.ndarray, counts: np.ndarray, buckets
     bucket = ((grams >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
     return [
-        (b, chunk, n, _planes(grams[low:high]), _packed(counts[low:high]))
+        (b, chunk, n, _sorted_packed(grams[low:high]), _packed(counts[low:high]))
         for b, (low, high) in enumerate(zip(edges, edges[1:], strict=False))
         if low < high
     ]
@@ -115,7 +128,7 @@ def _first_requests(table: pa.Table, orders, buckets: int) -> pa.Table:
     chunk = table["chunk"][0].as_py()
     grams = _Grams(_texts(table), max(orders))
     # The empty n-gram's count is the number of words.
-    rows = [(0, chunk, 0, _planes(np.zeros(1, _U)), _packed(np.array([len(grams)])))]
+    rows = [(0, chunk, 0, _sorted_packed(np.zeros(1, _U)), _packed(np.array([len(grams)])))]
     for n in orders:
         rows += _requests(chunk, n, *np.unique(grams.of[n][grams.whole(n)], return_counts=True), buckets)
     return _table(rows, _REQUEST)
@@ -130,9 +143,13 @@ def _answers(table: pa.Table) -> pa.Table:
     rows = []
     bucket = table["bucket"][0].as_py()
     for n in np.unique(table["n"].to_numpy()).tolist():
-        part = table.filter(pa.compute.equal(table["n"], n))
-        asked = [_from_planes(blob.as_py()) for blob in part["grams"]]
-        counts = np.concatenate([_unpacked(blob.as_py()) for blob in part["counts"]])
+        part = table.filter(pc.equal(table["n"], n))
+        counts = [_unpacked(blob.as_py()) for blob in part["counts"]]
+        asked = [
+            _sorted_unpacked(blob.as_py(), len(own))
+            for blob, own in zip(part["grams"], counts, strict=True)
+        ]
+        counts = np.concatenate(counts)
         _, back = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.bincount(back, counts).astype(np.int64)[back]
         ends = np.cumsum([len(a) for a in asked])
@@ -147,7 +164,7 @@ class _Counts:
     def __init__(self, grams: _Grams, answers: pa.Table, min_count: int):
         self.grams, self.min_count = grams, min_count
         self.answers: dict[int, list] = {}
-        order = pa.compute.sort_indices(answers, [("n", "ascending"), ("bucket", "ascending")])
+        order = pc.sort_indices(answers, [("n", "ascending"), ("bucket", "ascending")])
         answers = answers.take(order)
         for n, blob in zip(answers["n"].to_pylist(), answers["counts"], strict=True):
             self.answers.setdefault(n, []).append(_unpacked(blob.as_py()))
