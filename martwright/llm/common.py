@@ -14,7 +14,7 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Texts are taken from an Arrow batch in slices of about so many bytes.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -56,6 +56,8 @@ def text_slices(column, size=SLICE_BYTES):
         end = max(row + 1, int(np.searchsorted(sizes, before + size, "right")))
         yield row, column.slice(row, end - row)
         row = end
+    # A worker waits with what it holds, next to those of other stages.
+    pa.default_memory_pool().release_unused()
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

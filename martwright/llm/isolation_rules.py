@@ -242,8 +242,17 @@ def judge(stats: DataFrame, rules: Rules) -> DataFrame:
 
 
 def keep_usual(docs: DataFrame, rules: Rules) -> DataFrame:
-    """Rows of `docs`, with all their columns, that the rules keep."""
-    names = docs.columns
-    rows = docs.select(F.struct(*names).alias("row"), statistics_column().alias("s"))
-    rows = rows.select("row", "s.*").withColumn("anomaly", rules.score_column())
+    """Rows of `docs`, with all their columns, that the rules keep. Statistics and score
+    come from one pass through a Python worker."""
+    forest = rules.forest
+
+    @F.arrow_udf(f"struct<{_STRUCT.replace(' long', ': bigint')}, anomaly: double>")
+    def judged(texts: pa.Array) -> pa.Array:
+        found = statistics(texts)
+        columns = [pa.array(found[name], pa.int64()) for name in STATS]
+        columns.append(pa.array(forest.score(_vectors(found)), pa.float64()))
+        return pa.StructArray.from_arrays(columns, names=[*STATS, "anomaly"])
+
+    row = F.struct(*docs.columns).alias("row")
+    rows = docs.select(row, judged.asNondeterministic()("text").alias("s")).select("row", "s.*")
     return rows.filter(rules.kept(F.col("anomaly"))).select("row.*")

@@ -21,7 +21,7 @@ from martwright.llm.common import binary_array, one_array, text_slices
 from martwright.llm.word_bpe import token_ids
 
 SEGMENT_IDS = 2_000_000
-_SLICE = 16_000_000
+_SLICE = 6_000_000
 
 
 def _encode_task(batches, path, end_id):
