@@ -4,21 +4,25 @@ The feeds are dirty on purpose: NULL and repeated keys, blanks, malformed number
 dates, unknown customers and products, a promotion id with two types. Each carries its
 whole contract as text plus `ingested_at`. `{ntz}` names the zone-less timestamp type.
 
+`src_customer`, `src_customer_months`, `src_product` and `src_sales` hold everything.
 Historical and incremental feeds are date windows of orders and shipments. The sales
 windows overlap by two months, as an extract that resends late transactions would.
 """
 
+import tempfile
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martwright.sources.staging import SETTING
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # Unevaluated scans of each session, so that a schema is read once per file.
 _scans: WeakKeyDictionary = WeakKeyDictionary()
 
-# Tables whose rows the feeds multiply.
-LARGE = ("customer", "part", "lineitem")
+# Removed when Python exits.
+_folders: list[tempfile.TemporaryDirectory] = []
 
 CUT = "{ntz} '2000-01-01 00:00:00'"
 RESENT_FROM = "{ntz} '1999-11-01 00:00:00'"
@@ -94,6 +98,9 @@ _LATER_ORDERS = f"join orders on o_custkey = c_custkey and o_orderdate >= {CUT}"
 _SHIFTED_CUSTOMER = "cast(case when c_custkey % 100 = 7 then c_custkey + 1000000 else c_custkey end as string)"
 _START = "case when c_custkey % 130 = 3 then null else cast(cast(o_orderdate as date) as string) end as effective_start_date,"
 
+_DIRTY_CUSTOMER = "case when c_custkey % 211 = 0 then null else cast(c_custkey as string) end"
+_DIRTY_PART = "case when p_partkey % 307 = 0 then null else cast(p_partkey as string) end"
+
 _INCREMENT = {
     "id": _SHIFTED_CUSTOMER,
     "income": "case when c_custkey % 10 = 3 then 'CHANGED' else c_mktsegment end",
@@ -109,7 +116,7 @@ FEEDS = {
     "src_sales_inc": f"{_SALES} where o_orderdate >= {RESENT_FROM}",
     "src_customer_hist": _CUSTOMER
     % {
-        "id": "case when c_custkey % 211 = 0 then null else cast(c_custkey as string) end",
+        "id": _DIRTY_CUSTOMER,
         "income": "c_mktsegment",
         "education": "case when o_orderstatus = 'O' then 'Graduate' else 'School' end",
         "occupation": "'clerk'",
@@ -126,10 +133,33 @@ FEEDS = {
     },
     "src_product_hist": _PRODUCT
     % {
-        "id": "case when p_partkey % 307 = 0 then null else cast(p_partkey as string) end",
+        "id": _DIRTY_PART,
         "rate": "100.0",
         "lines": f"left join lineitem on l_partkey = p_partkey and l_shipdate < {CUT}",
     },
+    "src_customer": _CUSTOMER
+    % {
+        "id": _DIRTY_CUSTOMER,
+        "income": "c_mktsegment",
+        "education": "case when o_orderstatus = 'O' then 'Graduate' else 'School' end",
+        "occupation": "'clerk'",
+        "extra": "",
+        "orders": "left join orders on o_custkey = c_custkey",
+    },
+    "src_customer_months": _CUSTOMER
+    % {
+        **_INCREMENT,
+        "occupation": "case when o_orderstatus = 'F' then 'clerk' else o_orderpriority end",
+        "extra": "cast(year(o_orderdate) * 100 + month(o_orderdate) as string) as version, "
+        + _START,
+        "orders": "left join orders on o_custkey = c_custkey",
+    },
+    "src_product": _PRODUCT
+    % {
+        "id": _DIRTY_PART,
+        "rate": "100.0",
+        "lines": "left join lineitem on l_partkey = p_partkey",
+    },
     "src_product_inc": _PRODUCT
     % {
         "id": "cast(case when p_partkey % 10 = 9 then p_partkey + 1000000 else p_partkey end as string)",
@@ -143,20 +173,23 @@ def feed_sql(name: str, ntz: str) -> str:
     return FEEDS[name].format(ntz=ntz)
 
 
-def _spread(scan: DataFrame) -> DataFrame:
-    """Rows over all cores where a table has few files, as the test tables have one."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if len(scan.inputFiles()) < cores else scan
+def stage_locally(spark: SparkSession) -> None:
+    """A temporary staging folder for a local session that names none."""
+    named = spark.conf.get(SETTING, None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.startswith("local"):
+        folder = tempfile.TemporaryDirectory(prefix="martwright-")
+        _folders.append(folder)
+        spark.conf.set(SETTING, folder.name)
 
 
 def read_tables(spark: SparkSession, sf_dir: str) -> None:
     """Make the test tables visible to the feeds under their names."""
+    stage_locally(spark)
     scans = _scans.setdefault(spark, {})
     for name in TABLES:
         path = f"{sf_dir}/{name}.parquet"
         if path not in scans:
-            scan = spark.read.parquet(path)
-            scans[path] = _spread(scan) if name in LARGE else scan
+            scans[path] = spark.read.parquet(path)
         scans[path].createOrReplaceTempView(name)
 
 

@@ -4,19 +4,114 @@ from checks.feeds import FEEDS, feed_sql
 
 KEYS = {"customer": "customer_id", "product": "product_id", "sales": "transaction_id"}
 
+# Column names of the feeds and how each is typed.
 COLUMNS = {
-    "customer": "customer_id age gender income_bracket loyalty_program membership_years churned marital_status number_of_children education_level occupation customer_zip_code customer_city customer_state".split(),
-    "product": "product_id product_name product_brand product_category product_rating product_review_count product_stock product_return_rate product_size product_weight product_color product_material product_manufacture_date product_expiry_date product_shelf_life unit_price".split(),
-    "sales": "transaction_id transaction_date customer_id product_id quantity unit_price discount_applied payment_method store_location transaction_hour day_of_week week_of_year month_of_year total_sales promotion_id promotion_type holiday_season season weekend".split(),
+    "customer": [
+        "customer_id",
+        "age",
+        "gender",
+        "income_bracket",
+        "loyalty_program",
+        "membership_years",
+        "churned",
+        "marital_status",
+        "number_of_children",
+        "education_level",
+        "occupation",
+        "customer_zip_code",
+        "customer_city",
+        "customer_state",
+    ],
+    "product": [
+        "product_id",
+        "product_name",
+        "product_brand",
+        "product_category",
+        "product_rating",
+        "product_review_count",
+        "product_stock",
+        "product_return_rate",
+        "product_size",
+        "product_weight",
+        "product_color",
+        "product_material",
+        "product_manufacture_date",
+        "product_expiry_date",
+        "product_shelf_life",
+        "unit_price",
+    ],
+    "sales": [
+        "transaction_id",
+        "transaction_date",
+        "customer_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "discount_applied",
+        "payment_method",
+        "store_location",
+        "transaction_hour",
+        "day_of_week",
+        "week_of_year",
+        "month_of_year",
+        "total_sales",
+        "promotion_id",
+        "promotion_type",
+        "holiday_season",
+        "season",
+        "weekend",
+    ],
+}
+INTS = {
+    "age",
+    "membership_years",
+    "number_of_children",
+    "product_shelf_life",
+    "quantity",
+    "transaction_hour",
+    "week_of_year",
+    "month_of_year",
+}
+DOUBLES = {
+    "product_rating",
+    "product_review_count",
+    "product_stock",
+    "product_return_rate",
+    "product_weight",
+    "discount_applied",
+    "total_sales",
+    "promotion_id",
+    "unit_price",
 }
-INTS = set("age membership_years number_of_children product_shelf_life quantity transaction_hour week_of_year month_of_year".split())
-DOUBLES = set("product_rating product_review_count product_stock product_return_rate product_weight discount_applied total_sales promotion_id unit_price".split())
 STAMPS = {"product_manufacture_date", "product_expiry_date", "transaction_date"}
 FLAGS = {"churned", "holiday_season", "weekend"}
-LABELS = set("gender income_bracket loyalty_program marital_status education_level occupation customer_zip_code customer_city customer_state product_name product_brand product_category product_size product_color product_material payment_method store_location day_of_week season promotion_type".split())
+LABELS = {
+    "gender",
+    "income_bracket",
+    "loyalty_program",
+    "marital_status",
+    "education_level",
+    "occupation",
+    "customer_zip_code",
+    "customer_city",
+    "customer_state",
+    "product_name",
+    "product_brand",
+    "product_category",
+    "product_size",
+    "product_color",
+    "product_material",
+    "payment_method",
+    "store_location",
+    "day_of_week",
+    "season",
+    "promotion_type",
+}
 EXTRA = {
     "src_customer_inc": ["effective_start_date"],
     "src_customer_versions": ["version", "effective_start_date"],
+    "src_customer_months": ["version", "effective_start_date"],
+    "src_product": ["last_updated"],
     "src_product_hist": ["last_updated"],
     "src_product_inc": ["last_updated"],
 }
@@ -284,9 +379,9 @@ def oracle_sql() -> dict[str, str]:
 
     sql = {
         "contract_csv_scan": "select "
-        + ", ".join(f"nullif({c}, '') as {c}" for c in feed_columns("src_product_hist"))
-        + f" from ({src['src_product_hist']}) t",
-        "source_file_selection": f"select dataset, n as actual from ({counts({e: src[f'src_{e}_hist'] for e in KEYS})}) t",
+        + ", ".join(f"nullif({c}, '') as {c}" for c in feed_columns("src_product"))
+        + f" from ({src['src_product']}) t",
+        "source_file_selection": f"select dataset, n as actual from ({counts(six)}) t",
         "strict_union": f"{src['src_sales_hist']} union all {src['src_sales_inc']}",
         "padded_union": f"select * from ({src['src_customer_hist']}) h union all by name select * from ({src['src_customer_inc']}) i",
         "audit_contract": """
@@ -295,10 +390,14 @@ def oracle_sql() -> dict[str, str]:
             union all select n_name, 1, 'row count is no whole number' from control where n_regionkey = 2
             union all select n_name, 0, 'expected exactly one audit row' from nation where n_name not in (select n_name from control)
             union all select r_name, 0, 'expected exactly one audit row' from region""",
-        "provenance_stamp": f"select transaction_id, {batch('incremental')} as batch_id, 'incremental' as load_type, 'sales_incremental.csv' as source_file from ({src['src_sales_inc']}) t",
+        "provenance_stamp": " union all ".join(
+            f"select transaction_id, {batch(load)} as batch_id, '{load}' as load_type, 'sales_{load}.csv' as source_file from ({src[f'src_sales_{short}']}) t"
+            for load, short in (("historical", "hist"), ("incremental", "inc"))
+        ),
         "idempotent_append": f"""select {batch('historical')} as batch_id, 'historical' as load_type, count(*) as n_rows from ({src['src_sales_hist']}) h
             union all select {batch('incremental')}, 'incremental', count(*) from ({src['src_sales_inc']}) i""",
-        "snapshot_roundtrip": "select * from orders",
+        "snapshot_roundtrip": "select o_orderkey, o_custkey, null::double as o_totalprice from orders "
+        "union all select o_orderkey, null, o_totalprice from orders",
         "row_count_reconciliation": f"""select dataset, expected, n as actual, n - expected as difference, case when n = expected then 'PASS' else 'FAIL' end as status
             from (select *, n + case when dataset = 'product_incremental' then 1 else 0 end as expected from ({counts(six)}) c) t order by dataset""",
         "staged_reconciliation": "select dataset, expected, actual, actual - expected as difference, " + report + " from ("
@@ -308,34 +407,36 @@ def oracle_sql() -> dict[str, str]:
             for e in KEYS
         )
         + ") t",
-        "landing_gate": f"select dataset, n as expected, n as actual, 0 as difference, 'PASS' as status from ({counts(six)}) t",
+        "landing_gate": f"select dataset, n as expected, n as actual, 0 as difference, 'PASS' as status from ({counts(six)}) t "
+        f"union all select 'sales_incremental', count(*) + 1, count(*), -1, 'FAIL' from ({src['src_sales_inc']}) s",
         "medallion_e2e": with_sql(ledger_ctes(False), margin_sql("ledger")),
         "register_star": with_sql(
             star_ctes(),
             "select 'dim_customer' as table_name, count(*) + 1 as n_rows from customers union all select 'dim_product', count(*) + 1 from products "
             "union all select 'dim_promotion', count(*) from promotions union all select 'dim_date', count(*) from dates "
-            "union all select 'fact_sales', count(*) from ledger",
+            "union all select 'fact_sales', count(*) from ledger "
+            f"union all select 'dim_date columns', {len(calendar('date')) + 2}",
         ),
         "drop_null_keys": f"select * from ({src['src_sales']}) t where transaction_id is not null",
         "blank_to_null": "select product_id, "
-        + ", ".join(f"{blank(c)} as {c}" for c in feed_columns("src_product_hist") if c != "product_id")
-        + f", ingested_at from ({src['src_product_hist']}) t",
+        + ", ".join(f"{blank(c)} as {c}" for c in feed_columns("src_product") if c != "product_id")
+        + f", ingested_at from ({src['src_product']}) t",
         "fill_unknown": "select "
         + ", ".join(f"coalesce({c}, 'Unknown') as {c}" if c in LABELS else c for c in COLUMNS["customer"])
-        + f", ingested_at from ({src['src_customer_hist']}) t",
+        + f", ingested_at from ({src['src_customer']}) t",
         "fill_zero": "select transaction_id, "
         + ", ".join(f"{typed(c)} as {c}" for c in COLUMNS["sales"] if c in INTS | DOUBLES)
         + f" from ({src['src_sales']}) t",
-        "normalize_boolean": f"select customer_id, {flag('churned')} as churned, {flag('loyalty_program')} as loyalty_program from ({src['src_customer_hist']}) t",
+        "normalize_boolean": f"select customer_id, {flag('churned')} as churned, {flag('loyalty_program')} as loyalty_program from ({src['src_customer']}) t",
         "tolerant_cast": f"""select l_orderkey, l_linenumber, number_text, {whole('number_text')} as as_int, {whole('number_text', 'bigint')} as as_bigint,
             try_cast(number_text as double) as as_double from (select l_orderkey, l_linenumber, {number_text} as number_text from lineitem) t""",
-        "tolerant_timestamp": f"select product_id, try_cast(product_manufacture_date as timestamp) as product_manufacture_date, try_cast(product_expiry_date as timestamp) as product_expiry_date from ({src['src_product_hist']}) t",
-        "dedup_by_version": dedup_sql("src_customer_versions", f"({src['src_customer_versions']}) t"),
-        "dedup_by_payload_hash": dedup_sql("src_customer_hist", f"(select * from ({src['src_customer_hist']}) t where customer_id is not null) t"),
-        "dedup_by_last_updated": dedup_sql("src_product_hist", f"(select * from ({src['src_product_hist']}) t where product_id is not null) t"),
+        "tolerant_timestamp": f"select product_id, try_cast(product_manufacture_date as timestamp) as product_manufacture_date, try_cast(product_expiry_date as timestamp) as product_expiry_date from ({src['src_product']}) t",
+        "dedup_by_version": dedup_sql("src_customer_months", f"({src['src_customer_months']}) t"),
+        "dedup_by_payload_hash": dedup_sql("src_customer", f"(select * from ({src['src_customer']}) t where customer_id is not null) t"),
+        "dedup_by_last_updated": dedup_sql("src_product", f"(select * from ({src['src_product']}) t where product_id is not null) t"),
         "dedup_latest_ingest": dedup_sql("src_sales", f"(select * from ({src['src_sales']}) t where transaction_id is not null) t"),
-        "clean_customer": with_sql(clean_ctes("src_customer_hist"), "select * from clean_customer_hist"),
-        "clean_product": with_sql(clean_ctes("src_product_hist"), "select * from clean_product_hist"),
+        "clean_customer": with_sql(clean_ctes("src_customer"), "select * from clean_customer"),
+        "clean_product": with_sql(clean_ctes("src_product"), "select * from clean_product"),
         "clean_sales": with_sql(sales, "select * from clean_sales"),
         "anti_join_new_keys": with_sql(
             ledger_ctes(), "select transaction_id, ingested_at from clean_sales_inc where transaction_id not in (select transaction_id from clean_sales_hist)"
@@ -359,7 +460,7 @@ def oracle_sql() -> dict[str, str]:
             {**sales, "promotions": promotion_sql("clean_sales")},
             "select s.transaction_id, coalesce(m.promotion_sk, 0) as promotion_sk from clean_sales s left join promotions m on s.promotion_id = m.promotion_id and s.promotion_type = m.promotion_type",
         ),
-        "row_change_hash": f"select customer_id, ingested_at, {marked_hash(TRACKED)} as row_hash from ({src['src_customer_hist']}) t",
+        "row_change_hash": f"select customer_id, ingested_at, {marked_hash(TRACKED)} as row_hash from ({src['src_customer']}) t",
         "dense_surrogate_key": "select o_orderkey, o_custkey, o_orderdate, row_number() over (order by o_custkey, o_orderdate, o_orderkey) as order_sk from orders",
         "continue_surrogate_key": with_sql(
             ledger_ctes(),
@@ -380,10 +481,15 @@ def oracle_sql() -> dict[str, str]:
         "merge_idempotency": with_sql(
             {**customer_ctes("src_customer_versions"), **product_ctes(), **ledger_ctes()},
             "select 'customer' as table_name, count(*) as rows_once, count(*) as rows_twice, 0 as differing from customers "
-            "union all select 'product', count(*), count(*), 0 from products union all select 'sales', count(*), count(*), 0 from ledger",
+            "union all select 'product', count(*), count(*), 0 from products union all select 'sales', count(*), count(*), 0 from ledger "
+            f"union all select 'src_customer_versions', n, n, 0 from (select (select count(*) from customers) + count(distinct customer_id) as n from clean_customer_versions) v "
+            f"union all select 'src_customer_inc', n, n, 0 from ({with_sql(customers, 'select (select count(*) from customers) + count(distinct customer_id) as n from clean_customer_inc')}) i",
         ),
         "uniqueness_violations": f"select transaction_id, count(*) as n_rows from ({src['src_sales']}) t group by 1 having count(*) <> 1",
-        "top_regions": with_sql(sales, margin_sql("clean_sales") + " limit 10"),
+        "top_regions": with_sql(
+            {**sales, "margins": margin_sql("clean_sales")},
+            "select *, row_number() over (order by net_margin desc, store_location) as place from margins",
+        ),
         "scalar_date_attributes": "select o_orderkey, " + ", ".join(f"{e} as {n}" for n, e in calendar("o_orderdate").items()) + " from orders",
         "dim_customer": with_sql(
             customers,
@@ -404,8 +510,8 @@ def oracle_sql() -> dict[str, str]:
             star_ctes(),
             " union all ".join(f"select '{k}' as key, count(*) filter ({k} = 0) as unknown_rows from fact" for k in ("customer_sk", "product_sk", "promotion_sk", "date_sk")),
         ),
-        "kpi_net_margin": with_sql(sales, margin_sql("clean_sales")),
-        "kpi_aov_by_promotion": with_sql(sales, f"select promotion_type, {mean('total_sales')} as aov from clean_sales group by 1 order by 1"),
+        "kpi_net_margin": with_sql(star_ctes(), margin_sql("fact")),
+        "kpi_aov_by_promotion": with_sql(star_ctes(), f"select promotion_type, {mean('total_sales')} as aov from fact group by 1 order by 1"),
         "kpi_churn_heatmap": with_sql(
             customers,
             "select customer_state, loyalty_program, count(*) as total_customers, count(*) filter (churned) as churned_customers, "
@@ -417,9 +523,9 @@ def oracle_sql() -> dict[str, str]:
             "max(product_return_rate) as highest_return_rate from products group by 1 order by 3 desc, 1",
         ),
         "kpi_store_traffic": with_sql(
-            sales,
+            star_ctes(),
             f"select store_location, day_of_week, transaction_hour, count(*) as transaction_count, {rounded(mean('total_sales'), 2)} as average_transaction_value "
-            "from clean_sales group by 1, 2, 3 order by 4 desc, 1, 2, 3",
+            "from fact group by 1, 2, 3 order by 4 desc, 1, 2, 3",
         ),
         "silver_invariants": f"""
             with broken as (select count(*) as n from (select transaction_id from ({src['src_sales']}) t group by 1 having count(*) <> 1) u),

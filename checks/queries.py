@@ -1,8 +1,9 @@
 """The operators run on the derived feeds, one entry per check."""
 
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.feeds import feed, read_tables
@@ -39,22 +40,27 @@ def query(run):
 
 def cleaned(spark, sf_dir, name) -> DataFrame:
     """A cleaned feed, stored as a merge expects it."""
-    entity = name.split("_")[1]
-    return stage(cleanse.CLEANERS[entity](feed(spark, sf_dir, name)))
+    return stage(cleaned_plan(spark, sf_dir, name))
+
+
+def cleaned_plan(spark, sf_dir, name) -> DataFrame:
+    """A cleaned feed for a single reader."""
+    return cleanse.CLEANERS[name.split("_")[1]](feed(spark, sf_dir, name))
 
 
 def first_customers(spark, sf_dir):
-    return merge.initialize_history(cleaned(spark, sf_dir, "src_customer_hist"))
+    """The first history; its keys come from stored rows, so it is not stored again."""
+    return merge.initialize_history(cleaned_plan(spark, sf_dir, "src_customer_hist"))
 
 
 def customer_merge(spark, sf_dir, increment="src_customer_inc"):
-    target = stage(first_customers(spark, sf_dir))
+    target = first_customers(spark, sf_dir)
     return merge.merge_history(target, cleaned(spark, sf_dir, increment), AS_OF)
 
 
 def first_products(spark, sf_dir):
-    rows = cleaned(spark, sf_dir, "src_product_hist").drop(*OPTIONAL_COLUMNS["product"])
-    return stage(merge.initialize_products(rows))
+    rows = cleaned_plan(spark, sf_dir, "src_product_hist").drop(*OPTIONAL_COLUMNS["product"])
+    return merge.initialize_products(rows)
 
 
 def product_increment(spark, sf_dir):
@@ -68,7 +74,7 @@ def merged_products(spark, sf_dir):
 
 
 def first_ledger(spark, sf_dir):
-    return stage(merge.initialize_ledger(cleaned(spark, sf_dir, "src_sales_hist")))
+    return merge.initialize_ledger(cleaned_plan(spark, sf_dir, "src_sales_hist"))
 
 
 def merged_ledger(spark, sf_dir):
@@ -92,6 +98,18 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     return tables
 
 
+# Stored stars of each session, for the KPIs.
+_stars: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def stored_fact(spark, sf_dir) -> DataFrame:
+    """The fact of a stored star, which the KPIs share."""
+    stars = _stars.setdefault(spark, {})
+    if sf_dir not in stars:
+        stars[sf_dir] = stage(star_tables(spark, sf_dir)["fact_sales"])
+    return stars[sf_dir]
+
+
 def contract_feed(spark, sf_dir, entity, load_type) -> DataFrame:
     rows = feed(spark, sf_dir, f"src_{entity}_{LOADS[load_type]}")
     return rows.drop("ingested_at")
@@ -103,20 +121,26 @@ def contract_feed(spark, sf_dir, entity, load_type) -> DataFrame:
 @query
 def contract_csv_scan(spark, sf_dir):
     folder = new_folder(spark)
-    files.write_text_csv(contract_feed(spark, sf_dir, "product", "historical"), folder)
+    files.write_text_csv(feed(spark, sf_dir, "src_product").drop("ingested_at"), folder)
     return files.read_contract_csv(spark, "product", folder)
 
 
 @query
 def source_file_selection(spark, sf_dir):
-    root = new_folder(spark)
-    for entity in ENTITIES:
-        rows = contract_feed(spark, sf_dir, entity, "historical")
-        files.write_text_csv(rows, f"{root}/delivery/{entity}")
-        files.write_text_csv(rows, f"{root}/audit/{entity}")
-    return audit.row_counts(
-        {e: files.read_entity_feed(spark, root, e) for e in ENTITIES}
-    )
+    """Rows found of each load, below a folder whose name holds an expression's marks."""
+    root = f"{new_folder(spark)}/audit.lake(eu)+1"
+    found = {}
+    for load_type in LOADS:
+        for entity in ENTITIES:
+            rows = contract_feed(spark, sf_dir, entity, load_type)
+            files.write_text_csv(rows, f"{root}/{load_type}/delivery/{entity}")
+            files.write_text_csv(rows, f"{root}/{load_type}/audit/{entity}")
+    for load_type in LOADS:
+        for entity in ENTITIES:
+            found[f"{entity}_{load_type}"] = files.read_entity_feed(
+                spark, f"{root}/{load_type}/", entity
+            )
+    return audit.row_counts(found)
 
 
 @query
@@ -166,10 +190,13 @@ def audit_contract(spark, sf_dir):
 
 @query
 def provenance_stamp(spark, sf_dir):
-    stamped = provenance.stamp_provenance(
-        feed(spark, sf_dir, "src_sales_inc"), "sales", "incremental"
-    )
-    return stamped.select("transaction_id", "batch_id", "load_type", "source_file")
+    stamped = [
+        provenance.stamp_provenance(
+            feed(spark, sf_dir, f"src_sales_{short}"), "sales", load_type
+        ).select("transaction_id", "batch_id", "load_type", "source_file")
+        for load_type, short in LOADS.items()
+    ]
+    return files.strict_union(stamped)
 
 
 @query
@@ -193,15 +220,16 @@ def idempotent_append(spark, sf_dir):
 
 @query
 def snapshot_roundtrip(spark, sf_dir):
+    """Columns come and go between snapshots; an unpublished one is not seen."""
     read_tables(spark, sf_dir)
     orders = spark.table("orders")
     table = SnapshotTable(spark, new_folder(spark))
-    table.write(orders.select("o_orderkey"))
+    table.write(orders.select("o_orderkey", "o_custkey"))
     table.publish()
-    table.write(orders)
+    table.write(orders.select("o_orderkey", "o_totalprice"))
     table.publish()
-    table.write(orders.select("o_custkey"))
-    return table.latest()
+    table.write(orders.select("o_orderdate"))
+    return table.history()
 
 
 def _counts_with_slip(spark, sf_dir) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -271,7 +299,7 @@ def _deliver(spark, sf_dir) -> dict[str, str]:
 
 @query
 def landing_gate(spark, sf_dir):
-    """Landing reports of the six loads; a wrong count would have raised."""
+    """Landing reports of the six loads, and of a load refused for a wrong count."""
     paths = _deliver(spark, sf_dir)
     lake = medallion.Lakehouse(spark, new_folder(spark))
     reports = []
@@ -279,6 +307,17 @@ def landing_gate(spark, sf_dir):
         for entity in ENTITIES:
             medallion.ingest_raw(lake, paths[load_type], entity, load_type)
             reports.append(medallion.land(lake, paths["landing"], entity, load_type))
+    counts = audit.row_counts(
+        {"sales_incremental": contract_feed(spark, sf_dir, "sales", "incremental")}
+    )
+    controls = new_folder(spark)
+    name = medallion.LANDING_AUDIT_FILES["incremental"].format(entity="sales")
+    write_audit(counts.withColumn("actual", F.col("actual") + 1), f"{controls}/{name}")
+    try:
+        medallion.land(lake, controls, "sales", "incremental")
+    except RuntimeError:
+        control = files.read_audit(spark, f"{controls}/{name}")
+        reports.append(audit.reconcile(counts, control).select(*reports[0].columns))
     return files.strict_union(reports)
 
 
@@ -294,7 +333,8 @@ def medallion_e2e(spark, sf_dir):
 
 @query
 def register_star(spark, sf_dir):
-    """Row counts of the stored star, read through the catalog."""
+    """Row counts of the stored star, read through the catalog, and the columns of a
+    table registered again after it has got one more."""
     lake = medallion.Lakehouse(spark, new_folder(spark))
     for name, df in star_tables(spark, sf_dir).items():
         lake.gold(name).write(df)
@@ -304,7 +344,18 @@ def register_star(spark, sf_dir):
     counts = audit.row_counts(
         {name: spark.table(f"{schema}.{name}") for name in medallion.STAR_TABLES}
     )
-    return counts.select(F.col("dataset").alias("table_name"), F.col("actual").alias("n_rows"))
+    counts = counts.select(F.col("dataset").alias("table_name"), F.col("actual").alias("n_rows"))
+    stored = stage(counts)
+    dates = lake.gold("dim_date")
+    dates.write(dates.latest().withColumn("half_year", F.ceil(F.col("quarter") / 2)))
+    dates.publish()
+    medallion.register_star(lake, schema, location=f"{lake.root}/catalog")
+    width = len(spark.table(f"{schema}.dim_date").columns)
+    return stored.unionByName(
+        spark.range(1).select(
+            F.lit("dim_date columns").alias("table_name"), F.lit(width).cast("long").alias("n_rows")
+        )
+    )
 
 
 # --- cleansing ----------------------------------------------------------------------
@@ -317,13 +368,13 @@ def drop_null_keys(spark, sf_dir):
 
 @query
 def blank_to_null(spark, sf_dir):
-    return cleanse.blank_to_null(feed(spark, sf_dir, "src_product_hist"), keep=["product_id"])
+    return cleanse.blank_to_null(feed(spark, sf_dir, "src_product"), keep=["product_id"])
 
 
 @query
 def fill_unknown(spark, sf_dir):
     return cleanse.fill_unknown(
-        feed(spark, sf_dir, "src_customer_hist"), CUSTOMER_RULES.labels
+        feed(spark, sf_dir, "src_customer"), CUSTOMER_RULES.labels
     )
 
 
@@ -340,7 +391,7 @@ def fill_zero(spark, sf_dir):
 @query
 def normalize_boolean(spark, sf_dir):
     return cleanse.normalize_booleans(
-        feed(spark, sf_dir, "src_customer_hist"), ["churned", "loyalty_program"]
+        feed(spark, sf_dir, "src_customer"), ["churned", "loyalty_program"]
     ).select("customer_id", "churned", "loyalty_program")
 
 
@@ -368,24 +419,24 @@ def tolerant_cast(spark, sf_dir):
 @query
 def tolerant_timestamp(spark, sf_dir):
     return cleanse.parse_timestamps(
-        feed(spark, sf_dir, "src_product_hist"), PRODUCT_RULES.timestamps
+        feed(spark, sf_dir, "src_product"), PRODUCT_RULES.timestamps
     ).select("product_id", *PRODUCT_RULES.timestamps)
 
 
 @query
 def dedup_by_version(spark, sf_dir):
-    return dedup.latest_by_version(feed(spark, sf_dir, "src_customer_versions"), "customer_id")
+    return dedup.latest_by_version(feed(spark, sf_dir, "src_customer_months"), "customer_id")
 
 
 @query
 def dedup_by_payload_hash(spark, sf_dir):
-    rows = cleanse.require_key(feed(spark, sf_dir, "src_customer_hist"), "customer_id")
+    rows = cleanse.require_key(feed(spark, sf_dir, "src_customer"), "customer_id")
     return dedup.one_by_payload(rows, "customer_id")
 
 
 @query
 def dedup_by_last_updated(spark, sf_dir):
-    rows = cleanse.require_key(feed(spark, sf_dir, "src_product_hist"), "product_id")
+    rows = cleanse.require_key(feed(spark, sf_dir, "src_product"), "product_id")
     return dedup.latest_by_update(rows, "product_id")
 
 
@@ -397,12 +448,12 @@ def dedup_latest_ingest(spark, sf_dir):
 
 @query
 def clean_customer(spark, sf_dir):
-    return cleanse.clean_customer(feed(spark, sf_dir, "src_customer_hist"))
+    return cleanse.clean_customer(feed(spark, sf_dir, "src_customer"))
 
 
 @query
 def clean_product(spark, sf_dir):
-    return cleanse.clean_product(feed(spark, sf_dir, "src_product_hist"))
+    return cleanse.clean_product(feed(spark, sf_dir, "src_product"))
 
 
 @query
@@ -476,7 +527,7 @@ def lookup_promotion_sk(spark, sf_dir):
 
 @query
 def row_change_hash(spark, sf_dir):
-    rows = feed(spark, sf_dir, "src_customer_hist")
+    rows = feed(spark, sf_dir, "src_customer")
     return rows.select("customer_id", "ingested_at", merge.change_hash(rows).alias("row_hash"))
 
 
@@ -552,7 +603,8 @@ def ledger_append(spark, sf_dir):
 
 @query
 def merge_idempotency(spark, sf_dir):
-    """Each merge applied twice: rows after the first, after the second, differing."""
+    """Each merge applied twice, and an older customer batch after a newer one: rows before
+    and after the repetition, and rows that differ."""
     customers_inc = cleaned(spark, sf_dir, "src_customer_versions")
     products_inc = product_increment(spark, sf_dir)
     sales_inc = cleaned(spark, sf_dir, "src_sales_inc")
@@ -570,21 +622,33 @@ def merge_idempotency(spark, sf_dir):
     outcome = []
     for name, (start, apply) in steps.items():
         once = stage(apply(start))
-        twice = stage(apply(once))
-        both = once.withColumn("_n", F.lit(1)).unionByName(twice.withColumn("_n", F.lit(-1)))
-        differing = both.groupBy(*once.columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")
-        counts = {
-            "rows_once": once.agg(F.count("*")).scalar(),
-            "rows_twice": twice.agg(F.count("*")).scalar(),
-        }
-        outcome.append(
-            differing.agg(F.count("*").alias("differing")).select(
-                F.lit(name).alias("table_name"),
-                *[c.alias(n) for n, c in counts.items()],
-                "differing",
-            )
+        outcome.append((name, once, stage(apply(once))))
+    # A batch, a later one, and the first again.
+    for name in ("src_customer_inc", "src_customer_versions"):
+        batch = cleaned(spark, sf_dir, name)
+        later = batch.withColumns(
+            {"effective_start_date": F.lit("2010-01-01"), "income_bracket": F.lit("NEXT")}
         )
-    return files.strict_union(outcome)
+        rows = stage(first_customers(spark, sf_dir))
+        for increment in (batch, later):
+            rows = stage(merge.merge_history(rows, increment, AS_OF).table())
+        again = stage(merge.merge_history(rows, batch, AS_OF).table())
+        outcome.append((name, rows, again))
+    return files.strict_union(_difference(*case) for case in outcome)
+
+
+def _difference(name, once, twice):
+    both = once.withColumn("_n", F.lit(1)).unionByName(twice.withColumn("_n", F.lit(-1)))
+    differing = both.groupBy(*once.columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")
+    counts = {
+        "rows_once": once.agg(F.count("*")).scalar(),
+        "rows_twice": twice.agg(F.count("*")).scalar(),
+    }
+    return differing.agg(F.count("*").alias("differing")).select(
+        F.lit(name).alias("table_name"),
+        *[c.alias(n) for n, c in counts.items()],
+        "differing",
+    )
 
 
 # --- aggregates ---------------------------------------------------------------------
@@ -597,9 +661,11 @@ def uniqueness_violations(spark, sf_dir):
 
 @query
 def top_regions(spark, sf_dir):
-    """The ten stores with the greatest net margin."""
+    """All stores by their net margin, with their rank."""
     fact = cleanse.clean_sales(feed(spark, sf_dir, "src_sales"))
-    return kpis.net_margin_by_store(fact).limit(10)
+    # A row for each store.
+    order = Window.orderBy(F.desc("net_margin"), "store_location")
+    return kpis.net_margin_by_store(fact).withColumn("place", F.row_number().over(order))
 
 
 @query
@@ -653,14 +719,12 @@ def unknown_member(spark, sf_dir):
 
 @query
 def kpi_net_margin(spark, sf_dir):
-    return kpis.net_margin_by_store(cleanse.clean_sales(feed(spark, sf_dir, "src_sales")))
+    return kpis.net_margin_by_store(stored_fact(spark, sf_dir))
 
 
 @query
 def kpi_aov_by_promotion(spark, sf_dir):
-    return kpis.order_value_by_promotion(
-        cleanse.clean_sales(feed(spark, sf_dir, "src_sales"))
-    )
+    return kpis.order_value_by_promotion(stored_fact(spark, sf_dir))
 
 
 @query
@@ -675,7 +739,7 @@ def kpi_product_quality(spark, sf_dir):
 
 @query
 def kpi_store_traffic(spark, sf_dir):
-    return kpis.store_traffic(cleanse.clean_sales(feed(spark, sf_dir, "src_sales")))
+    return kpis.store_traffic(stored_fact(spark, sf_dir))
 
 
 # --- table checks -------------------------------------------------------------------

@@ -159,8 +159,9 @@ def version_changes(
     if "version" in source.columns:
         changes = _chain_versions(dated, target)
     else:
+        classified = classify_changes(dated, target.filter("is_current"))
         changes = (
-            classify_changes(dated, target.filter("is_current"))
+            _drop_settled(classified, target, tracked_columns(dated))
             .filter("change != 'unchanged'")
             .withColumn("effective_end_date", F.lit(None).cast("date"))
             .drop("change")
@@ -280,3 +281,10 @@ def ledger_additions(target: DataFrame, source: DataFrame) -> DataFrame:
 def append_ledger(target: DataFrame, source: DataFrame) -> DataFrame:
     """Ledger with the unseen transactions; those it holds never change."""
     return padded_union([target, ledger_additions(target, source)])
+
+
+def touched_violations(merged: HistoryMerge) -> DataFrame:
+    """current_violations among the customers that a merge has touched."""
+    touched = merged.inserted.select(CUSTOMER_KEY).distinct()
+    rows = padded_union([merged.resolved, merged.inserted])
+    return current_violations(rows.join(touched, CUSTOMER_KEY, "left_semi"))

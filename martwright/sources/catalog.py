@@ -10,6 +10,12 @@ def register_tables(
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`{where}")
     for table, folder in folders.items():
+        name = f"`{schema}`.`{table}`"
+        # Only the entry goes: the files of an external table stay.
+        if spark.catalog.tableExists(name) and (
+            spark.table(name).schema != spark.read.parquet(folder).schema
+        ):
+            spark.sql(f"DROP TABLE {name}")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS `{schema}`.`{table}` USING parquet LOCATION '{folder}'"
         )

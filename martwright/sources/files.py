@@ -1,5 +1,6 @@
 """CSV feeds: file selection, by-name reading, audit control files."""
 
+import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -22,7 +23,10 @@ def list_feed_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
         .load(root)
         .select("path", "length")
     )
-    below_root = F.lower(F.element_at(F.split("path", F.lit(root.rstrip("/") + "/"), 2), -1))
+    # Listed paths may name scheme and host where the root does not.
+    inner = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    begin = F.instr("path", inner) + len(inner)
+    below_root = F.lower(F.col("path").substr(begin, F.length("path")))
     return files.filter(
         below_root.contains(entity.lower()) & ~below_root.contains("audit")
     )

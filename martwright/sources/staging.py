@@ -1,28 +1,19 @@
 """Intermediate results written once and read many times."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, tempfile.TemporaryDirectory] = {}
+#: May be set at run time; otherwise spark.checkpoint.dir names the folder.
+SETTING = "spark.martwright.staging.dir"
 
 
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables.
-
-    A cluster names it in `spark.checkpoint.dir`. Only a local session without that
-    setting gets a temporary folder, removed when Python exits.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/martwright"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.TemporaryDirectory(prefix="martwright-")
-    return _local_roots[app].name
+    """Folder for intermediate tables that driver and executors share."""
+    folder = spark.conf.get(SETTING, None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise ValueError(f"set {SETTING} or spark.checkpoint.dir to a folder all executors share")
+    return f"{folder.rstrip('/')}/martwright"
 
 
 def new_folder(spark: SparkSession) -> str:

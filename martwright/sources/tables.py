@@ -53,16 +53,33 @@ class SnapshotTable:
     def history(self, part: str = "rows") -> DataFrame:
         """All published snapshots together: the content of an appended table.
 
-        The newest snapshot's columns apply; older files show NULL for a column they
-        lack.
+        Columns of every published snapshot apply, the newest one's first; files show
+        NULL for a column they lack.
         """
-        newest = self._visible()
-        return (
-            self.spark.read.schema(self.latest(part).schema)
-            .parquet(f"{self.path}/{part}")
-            .filter(F.col("snapshot") <= newest)
+        first = self.latest(part).columns
+        numbers = ",".join(str(n) for n in range(1, self._visible() + 1))
+        rows = (
+            self.spark.read.option("mergeSchema", True)
+            .option("basePath", f"{self.path}/{part}")
+            .parquet(f"{self.path}/{part}/snapshot={{{numbers}}}")
             .drop("snapshot")
         )
+        return rows.select(*first, *(c for c in rows.columns if c not in first))
+
+    def having(self, column: str, value: str) -> DataFrame:
+        """Published snapshots that hold the value, with no other snapshot's columns."""
+        numbers = (
+            self.spark.read.option("basePath", f"{self.path}/rows")
+            .parquet(*(self.folder(n) for n in range(1, self._visible() + 1)))
+            .filter(F.col(column) == value)
+            .select("snapshot")
+            .distinct()
+            .collect()
+        )
+        if not numbers:
+            raise FileNotFoundError(f"nothing published at {self.path} has {column} {value}")
+        folders = [self.folder(row.snapshot) for row in numbers]
+        return self.spark.read.parquet(*folders).filter(F.col(column) == value)
 
     def folder(self, number: int, part: str = "rows") -> str:
         return f"{self.path}/{part}/snapshot={number}"

@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from checks.feeds import stage_locally  # noqa: E402
 from martwright.session import build_session  # noqa: E402
 
 
@@ -16,6 +17,7 @@ def spark():
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
+    stage_locally(session)
     yield session
     session.stop()
 
