@@ -132,18 +132,17 @@ def fit_rows(lists: list[np.ndarray], good: np.ndarray, c: float = 1.0, seed: in
     none = np.zeros(N_FEATURES, np.float32)
     if not len(good) or good.all() or not good.any():
         return Model(none, none, 0.0, 0.0, 0.0)
-    flat = np.concatenate(lists).astype(np.int64)
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    total = np.bincount(flat, minlength=N_FEATURES)
-    positive = np.bincount(flat[good[row]], minlength=N_FEATURES)
+    # Row by row, and with features only, so that the driver holds little.
+    total, positive = np.zeros(N_FEATURES), np.zeros(N_FEATURES)
+    for x, is_good in zip(lists, good, strict=True):
+        total[x] += 1
+        if is_good:
+            positive[x] += 1
     p, q = 1.0 + positive, 1.0 + total - positive
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
     ratio[total < MIN_ROWS_WITH_FEATURE] = 0
-    vectors = []
-    for x in lists:
-        x = x[ratio[x] != 0]
-        value = ratio[x]
-        vectors.append((x, value / max(np.sqrt((value**2).sum()), 1e-12)))
+    lists = [x[ratio[x] != 0] for x in lists]
+    lengths = np.array([max(np.sqrt((ratio[x] ** 2).sum()), 1e-12) for x in lists])
     label = np.where(good, 1.0, -1.0)
     # Classes weigh alike.
     limit = c * len(good) / 2 / np.where(good, good.sum(), (~good).sum())
@@ -152,17 +151,19 @@ def fit_rows(lists: list[np.ndarray], good: np.ndarray, c: float = 1.0, seed: in
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(lists)):
-            x, value = vectors[i]
+            x = lists[i]
+            value = ratio[x] / lengths[i]
             gradient = label[i] * (value @ weight[x] + intercept) - 1
             # A vector has length one and the intercept's feature adds one.
-            size = (2.0 if len(x) else 1.0)
+            size = 2.0 if len(x) else 1.0
             new = min(max(alpha[i] - gradient / size, 0.0), limit[i])
             step = (new - alpha[i]) * label[i]
             if step:
                 weight[x] += step * value
                 intercept += step
                 alpha[i] = new
-    margin = np.array([value @ weight[x] + intercept for x, value in vectors])
+    dots = (ratio[x] @ weight[x] for x in lists)
+    margin = np.fromiter(dots, np.float64, len(lists)) / lengths + intercept
     slope, shift = _platt(margin, good)
     return Model(ratio.astype(np.float32), weight.astype(np.float32), intercept, slope, shift)
 
