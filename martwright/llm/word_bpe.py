@@ -1,11 +1,12 @@
 """Token ids of whole texts by a tokenizer file whose pre-tokenizer drops white space.
 
-Such a tokenizer treats what lies between white space on its own, so each distinct word
-of a slice is encoded once by the library and its ids are put in place for every
-occurrence. Plain words go to the library in lines: the ids that end a pre-token show
-where a word's ids end, as a plain word is letters, marks, or letters and then marks.
-Other words go in lines with a mark between them, and those that hold the mark's
-character alone. A worker keeps the ids of the first CACHED distinct words it meets.
+Such a tokenizer treats what lies between white space on its own, and letters apart from
+marks, so a plain word (letters, marks, or letters and then marks) is taken as its letters,
+A-Z lower-cased, and its marks. Each distinct unit of a slice is encoded once by the
+library and its ids are put in place for every occurrence. Plain units go to the library
+in lines: the ids that end a pre-token show where a unit's ids end. Other words stay whole
+and go in lines with a mark between them, and those that hold the mark's character alone.
+A worker keeps the ids of the first CACHED distinct units it meets.
 """
 
 import os
@@ -23,6 +24,49 @@ _LINE_WORDS = 2000
 # Letters that lower-casing and composition leave letters; marks the tokenizer keeps together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?|#$%&*()\-]*)").fullmatch
 
+# The same by UTF-8 bytes: letters, where those of À to ÿ are C3 and a byte from 80 on.
+_LETTER, _MARK, _SPACE, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _KIND[0x80:0xC0] = _KIND[0xC3] = _LETTER
+_KIND[list(b".,;:!?|#$%&*()-")] = _MARK
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 32
+
+
+class _Units(Words):
+    """Words, of which plain ones with letters and marks are two units."""
+
+    def __init__(self, texts: pa.Array):
+        super().__init__(texts)
+        if not len(self):
+            return
+        kind, data = _KIND[self.data], self.data
+        mark, other = kind == _MARK, kind == _OTHER
+        # A letter after a mark; and the bytes of × and ÷, which are no letters.
+        other[1:] |= mark[:-1] & (kind[1:] == _LETTER)
+        other[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+        # White space after a word counts for neither.
+        plain = np.add.reduceat(other, self.starts, dtype=np.int32) == 0
+        marks = np.add.reduceat(mark, self.starts, dtype=np.int32)
+        cut = self.ends - marks
+        both = plain & (marks > 0) & (cut > self.starts)
+        self.data = _LOWER[data]
+        odd = np.flatnonzero(~plain)
+        places = np.arange(len(data), dtype=np.int32 if len(data) < 2**31 else np.int64)
+        at = gather(places, self.starts[odd], (self.ends - self.starts)[odd])
+        self.data[at] = data[at]
+        place = np.arange(len(self)) + np.cumsum(both) - both
+        total = len(self) + int(both.sum())
+        starts, ends = np.empty((2, total), np.int64)
+        starts[place], ends[place] = self.starts, np.where(both, cut, self.ends)
+        second = place[both] + 1
+        starts[second], ends[second] = cut[both], self.ends[both]
+        self.starts, self.ends = starts, ends
+        self.first = np.append(place, total)[self.first]
+        self.counts = np.diff(self.first)
+        self.text = np.repeat(np.arange(len(texts)), self.counts)
+
 
 class _Tokenizer:
     def __init__(self, path: str):
@@ -89,10 +133,10 @@ def load(path: str) -> _Tokenizer:
 
 def token_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, one after the other, and the number of ids of each text."""
-    words = Words(texts)
-    index, distinct = words.encoded()
+    units = _Units(texts)
+    index, distinct = units.encoded()
     flat, starts, counts = load(path).distinct(distinct.cast(pa.large_string()).to_pylist())
     lengths = counts[index]
     ends = np.concatenate([[0], np.cumsum(lengths)])
-    per_text = ends[words.first[1:]] - ends[words.first[:-1]]
+    per_text = ends[units.first[1:]] - ends[units.first[:-1]]
     return gather(flat, starts[index], lengths), per_text
