@@ -354,6 +354,35 @@ def rounded(x, places):
     return f"cast(cast(cast({x} as varchar) as decimal(28,{places})) as double)"
 
 
+KPI_SQL = {
+    "net_margin_by_store": margin_sql("fact"),
+    "order_value_by_promotion": f"select promotion_type, {mean('total_sales')} as aov from fact group by 1 order by 1",
+    "churn_heatmap": "select customer_state, loyalty_program, count(*) as total_customers, count(*) filter (churned) as churned_customers, "
+    f"{rounded('count(*) filter (churned) / count(*) * 100', 2)} as churn_rate from customers where is_current group by 1, 2 order by 1, 2",
+    "product_quality": f"select product_category, count(*) as number_of_products, {rounded(mean('product_return_rate'), 4)} as average_return_rate, "
+    "max(product_return_rate) as highest_return_rate from products group by 1 order by 3 desc, 1",
+    "store_traffic": f"select store_location, day_of_week, transaction_hour, count(*) as transaction_count, {rounded(mean('total_sales'), 2)} as average_transaction_value "
+    "from fact group by 1, 2, 3 order by 4 desc, 1, 2, 3",
+}
+
+# Each KPI's group columns and measures.
+KPI_MEASURES = [
+    ("net_margin_by_store", ["store_location"], ["gross_revenue", "discount_amount", "transaction_count", "net_margin"]),
+    ("order_value_by_promotion", ["promotion_type"], ["aov"]),
+    ("churn_heatmap", ["customer_state", "loyalty_program"], ["total_customers", "churned_customers", "churn_rate"]),
+    ("product_quality", ["product_category"], ["number_of_products", "average_return_rate", "highest_return_rate"]),
+    ("store_traffic", ["store_location", "day_of_week", "transaction_hour"], ["transaction_count", "average_transaction_value"]),
+]
+
+
+def measures_sql(kpi, groups, measures):
+    """A row for each measure; members are named by all of their group's columns."""
+    member = " || ' / ' || ".join(f"coalesce(cast({c} as varchar), '-')" for c in groups)
+    names = ", ".join(f"'{c}'" for c in measures)
+    values = ", ".join(f"cast({c} as double)" for c in measures)
+    return f"select '{kpi}' as kpi, {member} as member, unnest([{names}]) as measure, unnest([{values}]) as value from ({KPI_SQL[kpi]}) {kpi}"
+
+
 def counts(feeds):
     return " union all ".join(f"select '{n}' as dataset, count(*) as n from ({q}) t" for n, q in feeds.items())
 
@@ -409,7 +438,9 @@ def oracle_sql() -> dict[str, str]:
         + ") t",
         "landing_gate": f"select dataset, n as expected, n as actual, 0 as difference, 'PASS' as status from ({counts(six)}) t "
         f"union all select 'sales_incremental', count(*) + 1, count(*), -1, 'FAIL' from ({src['src_sales_inc']}) s",
-        "medallion_e2e": with_sql(ledger_ctes(False), margin_sql("ledger")),
+        "medallion_e2e": with_sql(
+            star_ctes(False), " union all ".join(measures_sql(*report) for report in KPI_MEASURES)
+        ),
         "register_star": with_sql(
             star_ctes(),
             "select 'dim_customer' as table_name, count(*) + 1 as n_rows from customers union all select 'dim_product', count(*) + 1 from products "
@@ -510,29 +541,24 @@ def oracle_sql() -> dict[str, str]:
             star_ctes(),
             " union all ".join(f"select '{k}' as key, count(*) filter ({k} = 0) as unknown_rows from fact" for k in ("customer_sk", "product_sk", "promotion_sk", "date_sk")),
         ),
-        "kpi_net_margin": with_sql(star_ctes(), margin_sql("fact")),
-        "kpi_aov_by_promotion": with_sql(star_ctes(), f"select promotion_type, {mean('total_sales')} as aov from fact group by 1 order by 1"),
-        "kpi_churn_heatmap": with_sql(
-            customers,
-            "select customer_state, loyalty_program, count(*) as total_customers, count(*) filter (churned) as churned_customers, "
-            f"{rounded('count(*) filter (churned) / count(*) * 100', 2)} as churn_rate from customers where is_current group by 1, 2 order by 1, 2",
-        ),
-        "kpi_product_quality": with_sql(
-            product_ctes(),
-            f"select product_category, count(*) as number_of_products, {rounded(mean('product_return_rate'), 4)} as average_return_rate, "
-            "max(product_return_rate) as highest_return_rate from products group by 1 order by 3 desc, 1",
-        ),
-        "kpi_store_traffic": with_sql(
-            star_ctes(),
-            f"select store_location, day_of_week, transaction_hour, count(*) as transaction_count, {rounded(mean('total_sales'), 2)} as average_transaction_value "
-            "from fact group by 1, 2, 3 order by 4 desc, 1, 2, 3",
-        ),
+        "kpi_net_margin": with_sql(star_ctes(), KPI_SQL["net_margin_by_store"]),
+        "kpi_aov_by_promotion": with_sql(star_ctes(), KPI_SQL["order_value_by_promotion"]),
+        "kpi_churn_heatmap": with_sql(customers, KPI_SQL["churn_heatmap"]),
+        "kpi_product_quality": with_sql(product_ctes(), KPI_SQL["product_quality"]),
+        "kpi_store_traffic": with_sql(star_ctes(), KPI_SQL["store_traffic"]),
         "silver_invariants": f"""
             with broken as (select count(*) as n from (select transaction_id from ({src['src_sales']}) t group by 1 having count(*) <> 1) u),
             rules as (select unnest(['customer_has_one_current_row', 'customer_sk_not_null', 'product_id_unique', 'transaction_id_unique']) as rule)
             select rule, 0 as violations, 'silver' as stage from rules
             union all select rule, case when rule = 'transaction_id_unique' then n else 0 end, 'feed' from rules, broken""",
-        "gold_fk_nulls": "select unnest(['customer_sk', 'product_sk', 'promotion_sk', 'date_sk']) as key, 0 as nulls",
+        "gold_fk_nulls": with_sql(
+            star_ctes(),
+            " union all ".join(
+                f"select '{k}' as key, 0 as nulls, 'fact' as stage "
+                f"union all select '{k}', count(*) filter ({k} = 0), 'lookup' from fact"
+                for k in ("customer_sk", "product_sk", "promotion_sk", "date_sk")
+            ),
+        ),
         "gold_fk_orphans": with_sql(
             star_ctes(),
             "select 'customer_sk' as key, 0 as orphans union all select 'date_sk', 0 "

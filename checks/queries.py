@@ -27,6 +27,15 @@ from martwright.sources.tables import SnapshotTable
 AS_OF = "2001-12-31"
 LOADS = {"historical": "hist", "incremental": "inc"}
 
+# Columns that name a KPI's groups.
+KPI_GROUPS = {
+    "net_margin_by_store": ["store_location"],
+    "order_value_by_promotion": ["promotion_type"],
+    "churn_heatmap": ["customer_state", "loyalty_program"],
+    "product_quality": ["product_category"],
+    "store_traffic": ["store_location", "day_of_week", "transaction_hour"],
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -83,15 +92,20 @@ def merged_ledger(spark, sf_dir):
     )
 
 
-def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    """Stored dimensions and the fact over them."""
+def star_dimensions(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The stored ledger and the stored dimensions."""
     sales = stage(merged_ledger(spark, sf_dir))
-    tables = {
+    return sales, {
         "dim_customer": stage(star.dim_customer(customer_merge(spark, sf_dir).table())),
         "dim_product": stage(star.dim_product(merged_products(spark, sf_dir))),
         "dim_promotion": stage(star.dim_promotion(sales)),
         "dim_date": stage(star.dim_date(sales)),
     }
+
+
+def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """Stored dimensions and the fact over them."""
+    sales, tables = star_dimensions(spark, sf_dir)
     tables["fact_sales"] = star.fact_sales(
         sales, tables["dim_customer"], tables["dim_product"], tables["dim_promotion"]
     )
@@ -323,12 +337,26 @@ def landing_gate(spark, sf_dir):
 
 @query
 def medallion_e2e(spark, sf_dir):
-    """Feed files to the first KPI through every stored layer."""
+    """Feed files to the five KPIs through every stored layer, a row for each measure."""
     paths = _deliver(spark, sf_dir)
     lake = medallion.Lakehouse(spark, new_folder(spark))
     roots = {load_type: paths[load_type] for load_type in LOADS}
     medallion.run(lake, roots, paths["landing"], paths["silver"], AS_OF)
-    return medallion.kpi_report(lake.star())["net_margin_by_store"]
+    return files.strict_union(
+        _measures(name, report) for name, report in medallion.kpi_report(lake.star()).items()
+    )
+
+
+def _measures(name: str, report: DataFrame) -> DataFrame:
+    """(kpi, member, measure, value) rows; a member is named by all of its group's columns."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in KPI_GROUPS[name]]
+    measures = [c for c in report.columns if c not in KPI_GROUPS[name]]
+    rows = report.select(
+        F.lit(name).alias("kpi"),
+        F.concat_ws(" / ", *parts).alias("member"),
+        *[F.col(c).cast("double").alias(c) for c in measures],
+    )
+    return rows.unpivot(["kpi", "member"], measures, "measure", "value")
 
 
 @query
@@ -759,7 +787,17 @@ def silver_invariants(spark, sf_dir):
 
 @query
 def gold_fk_nulls(spark, sf_dir):
-    return audit.fact_key_nulls(star_tables(spark, sf_dir)["fact_sales"])
+    """NULL keys of the fact, which has none, and of its lookups among known members only."""
+    sales, tables = star_dimensions(spark, sf_dir)
+    dimensions = {k: tables[k] for k in ("dim_customer", "dim_product", "dim_promotion")}
+    known = [df.filter(F.col(k.replace("dim_", "") + "_sk") != 0) for k, df in dimensions.items()]
+    facts = {
+        "fact": star.fact_sales(sales, *dimensions.values()),
+        "lookup": star.fact_sales(sales, *known, unknown=False),
+    }
+    return files.strict_union(
+        audit.fact_key_nulls(fact).withColumn("stage", F.lit(name)) for name, fact in facts.items()
+    )
 
 
 @query

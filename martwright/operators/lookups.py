@@ -36,17 +36,24 @@ def or_unknown(surrogate: Column) -> Column:
     return F.coalesce(surrogate, F.lit(UNKNOWN_SK).cast("bigint"))
 
 
-def lookup(fact: DataFrame, dimension: DataFrame, on: list[str], surrogate: str) -> DataFrame:
-    """Append the dimension's surrogate key, 0 where no member matches."""
+def lookup(
+    fact: DataFrame, dimension: DataFrame, on: list[str], surrogate: str, unknown: bool = True
+) -> DataFrame:
+    """Append the dimension's surrogate key; 0 where no member matches, or NULL if not `unknown`."""
     members = dimension.select(*on, surrogate)
     found = fact.drop(surrogate).join(members, on, "left")
-    return found.withColumn(surrogate, or_unknown(F.col(surrogate)))
+    return found.withColumn(surrogate, or_unknown(F.col(surrogate))) if unknown else found
 
 
 def lookup_as_of(
-    fact: DataFrame, versions: DataFrame, key: str, day: Column, surrogate: str
+    fact: DataFrame,
+    versions: DataFrame,
+    key: str,
+    day: Column,
+    surrogate: str,
+    unknown: bool = True,
 ) -> DataFrame:
-    """Append the key of the version valid on a day, 0 where none is.
+    """Append the key of the version valid on a day; 0 where none is, or NULL if not `unknown`.
 
     Versions of a key hold disjoint day ranges, closed at both ends, open while the end
     is NULL, so at most one matches. The key is the join key; the range is checked on
@@ -64,8 +71,5 @@ def lookup_as_of(
         & (F.col("_day") >= F.col("_from"))
         & (F.col("_to").isNull() | (F.col("_day") <= F.col("_to")))
     )
-    return (
-        dated.join(ranges, valid, "left")
-        .withColumn(surrogate, or_unknown(F.col(surrogate)))
-        .drop("_member", "_from", "_to", "_day")
-    )
+    found = dated.join(ranges, valid, "left").drop("_member", "_from", "_to", "_day")
+    return found.withColumn(surrogate, or_unknown(F.col(surrogate))) if unknown else found

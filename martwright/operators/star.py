@@ -82,9 +82,14 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 
 def fact_sales(
-    sales: DataFrame, customers: DataFrame, products: DataFrame, promotions: DataFrame
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    promotions: DataFrame,
+    unknown: bool = True,
 ) -> DataFrame:
-    """One row per ledger row with the keys of its dimension members.
+    """One row per ledger row with the keys of its dimension members; without `unknown`,
+    keys that find no member stay NULL.
 
     A promotion is looked up by id and type, as it is keyed, so an id with two types
     does not multiply sales.
@@ -92,11 +97,12 @@ def fact_sales(
     day = to_day(F.col("transaction_date"))
     dated = sales.withColumns(
         {
-            "date_sk": F.coalesce(date_key(day), F.lit(0)),
+            "date_sk": F.coalesce(date_key(day), F.lit(0)) if unknown else date_key(day),
             "promotion_id": promotion_number(),
         }
     )
-    found = lookup_as_of(dated, customers, "customer_id", day, "customer_sk")
-    found = lookup(found, products, ["product_id"], "product_sk")
-    found = lookup(found, promotions, ["promotion_id", "promotion_type"], "promotion_sk")
+    found = lookup_as_of(dated, customers, "customer_id", day, "customer_sk", unknown)
+    found = lookup(found, products, ["product_id"], "product_sk", unknown)
+    pair = ["promotion_id", "promotion_type"]
+    found = lookup(found, promotions, pair, "promotion_sk", unknown)
     return found.select(*FACT_COLUMNS)
