@@ -79,6 +79,18 @@ def test_word_ids_equal_the_library(texts):
         assert ids[end - count : end].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_units_of_letters_and_marks_keep_word_ids():
+    """Letters and marks in any mix, × and ÷, letters that lower-case to another form."""
+    rng = random.Random(5)
+    alphabet = [*"aBcÉß×÷.,-'3 \n\tńÃ中|<>#", "J̌", "H̱", word_bpe.MARK, "\x85", "\xa0"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(3000)]
+    texts += ["H̱x J̌. İ.", "a×b ÷ Ã·", "A.", ".a", "<|startoftext|> hi.<|endoftext|>"]
+    ids, counts = word_bpe.token_ids(WORD_BPE, pa.array(texts, pa.large_string()))
+    library = word_bpe.load(WORD_BPE).library
+    for text, own in zip(texts, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+        assert own.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_covers_each_id_once_and_fills_windows(docs, none, texts):
     pieces = packing.pack(docs, WORD_BPE, end_id=1).toPandas()
     library = word_bpe.load(WORD_BPE).library
