@@ -7,8 +7,9 @@ the counts of the n-grams it has sent; a join by chunk brings them to the docume
 n-grams are looked up and summed. An n-gram that every document holds is one entry for
 each chunk, so no bucket is hot. Bucket rows are sorted hashes in one binary value.
 
-Orders 1 and 2 go first. A longer n-gram can reach MIN_COUNT only if both n-grams that it
-is made of do, so a later wave sends only such candidates.
+Every n-gram that occurs is counted (MIN_COUNT = 1), so all orders go at once. With a
+higher least count orders 1 and 2 go first: a longer n-gram can reach it only if both
+n-grams that it is made of do, so a later wave sends only such candidates.
 
     S(w | context) = count(context w) / count(context)       if seen MIN_COUNT times
                    = ALPHA * S(w | context without its first word)   otherwise
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from martwright.llm.common import Words, one_array
 
 ORDER = 3
-MIN_COUNT = 2
+MIN_COUNT = 1
 ALPHA = 0.4
 CHUNK_BYTES = 12_000_000
 BUCKET_BYTES = 8_000_000
@@ -241,14 +242,14 @@ def score(
     chunks, buckets = size // CHUNK_BYTES + 1, size // BUCKET_BYTES + 1
     chunk = F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).alias("chunk")
     dealt = docs.select(chunk, "doc_id", text.alias("text"))
-    orders = (1, 2)
+    orders = range(1, order + 1) if min_count == 1 else (1, 2)
 
     def first(table: pa.Table) -> pa.Table:
         return _first_requests(table, orders, buckets)
 
     requests = dealt.groupBy("chunk").applyInArrow(first, _REQUEST)
-    answers = requests.groupBy("bucket").applyInArrow(_answers, _ANSWER)
-    for n in range(3, order + 1):
+    answers = requests.groupBy("n", "bucket").applyInArrow(_answers, _ANSWER)
+    for n in range(orders[-1] + 1, order + 1):
         pairs = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk"))
         requests = pairs.applyInArrow(_wave(n, min_count, buckets), _REQUEST)
         answers = answers.unionByName(requests.groupBy("bucket").applyInArrow(_answers, _ANSWER))
