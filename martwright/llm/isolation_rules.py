@@ -1,18 +1,20 @@
 """Quality rules: an isolation forest over rule statistics.
 
 Base rules reject on fixed limits. What passes them is judged by how few random splits set
-its statistics apart: each tree splits PER_TREE documents at random, and a document that
-ends after few splits in most trees is unusual. The score above which a document goes is
-calibrated on labelled rows: the lowest one that rejects at most MAX_GOOD_REJECTED of all
-good rows.
+its statistics apart from those of good documents: each tree splits PER_TREE labelled good
+rows at random, also beyond their range by MARGIN of it on both sides, so a document
+outside their range soon ends alone, also in a statistic that all good rows share. The score
+above which a document goes is calibrated on both labels: of the scores that reject at most
+MAX_GOOD_REJECTED of all good rows, one that rejects most bad rows and then fewest good ones,
+in the middle of the range where that holds; without bad rows the lowest.
 
-Statistics of every text are taken in one pass and stored. The trees need TREES * PER_TREE
-documents in all, those whose ids hash lowest; that is the method's own subsampling. The
-threshold is taken from a histogram of the scores of all labelled rows.
+Statistics of every text are taken in one pass and stored. The trees take at most
+TREES * PER_TREE labelled good rows in all, those whose ids hash lowest; that is the method's
+own subsampling. The threshold is taken from a histogram of the scores of all labelled rows.
 
 Defined cases: null and empty texts have no words and fail the base rules; labels that are
-null or contradict each other are left out; without labelled good rows only the base rules
-reject; repeated rows are judged alike; an empty table gives no rows.
+null or contradict each other are left out; without labelled good rows there are no trees, all
+scores are 0 and only the base rules reject; repeated rows are judged alike; an empty table gives no rows.
 """
 
 import numpy as np
@@ -26,6 +28,8 @@ TREES = 100
 PER_TREE = 256
 MAX_GOOD_REJECTED = 0.002
 BINS = 10_000
+MARGIN = 1.0
+LEAST_MARGIN = 0.1
 
 MIN_WORDS = 50
 REPEATED_PERCENT = 50
@@ -114,12 +118,13 @@ def base_failed() -> Column:
 
 
 def _vectors(stats) -> np.ndarray:
-    """Shares the trees split on, rounded so that every machine splits alike. They are the
-    statistics that only junk has in excess: clean texts may well repeat lines or words,
-    which the base rules judge, and would then stand out in a forest."""
+    """All statistics as shares, the number of words as a logarithm, rounded so that every
+    machine splits alike."""
     values = {name: np.asarray(stats[name], np.float64) for name in STATS}
     words, chars = np.maximum(values["n_words"], 1), np.maximum(values["word_chars"], 1)
-    return np.round(np.stack([values["n_symbols"] / words, values["n_marks"] / chars], axis=1), 6)
+    shares = [np.log1p(values["n_words"]), values["word_chars"] / words, values["n_marks"] / chars]
+    shares += [values[name] / words for name in ("n_symbols", "n_dup_lines", "n_repeat_words")]
+    return np.round(np.stack(shares, axis=1), 6)
 
 
 def _usual_depth(n):
@@ -146,17 +151,17 @@ class Forest:
     def _grow(rows, rng):
         limit = int(np.ceil(np.log2(max(len(rows), 2))))
         feature, split, left, right, depth = [], [], [], [], []
-        open_nodes = [(rows, 0, None, None)]
+        low, high = rows.min(axis=0), rows.max(axis=0)
+        margin = np.maximum(MARGIN * (high - low), LEAST_MARGIN)
+        open_nodes = [(rows, 0, None, None, low - margin, high + margin)]
         while open_nodes:
-            own, level, parent, side = open_nodes.pop()
+            own, level, parent, side, low, high = open_nodes.pop()
             node = len(feature)
             if parent is not None:
                 (left if side == 0 else right)[parent] = node
-            low, high = own.min(axis=0), own.max(axis=0)
-            varied = np.flatnonzero(high > low)
-            leaf = level >= limit or len(own) < 2 or not len(varied)
+            leaf = level >= limit or len(own) < 2
             depth.append(level + float(_usual_depth(len(own))) if leaf else 0.0)
-            chosen = -1 if leaf else int(rng.choice(varied))
+            chosen = -1 if leaf else int(rng.integers(rows.shape[1]))
             at = 0.0 if leaf else rng.uniform(low[chosen], high[chosen])
             feature.append(chosen)
             split.append(at)
@@ -164,8 +169,10 @@ class Forest:
             right.append(node)
             if not leaf:
                 below = own[:, chosen] <= at
-                open_nodes.append((own[~below], level + 1, node, 1))
-                open_nodes.append((own[below], level + 1, node, 0))
+                from_here, to_here = low.copy(), high.copy()
+                from_here[chosen] = to_here[chosen] = at
+                open_nodes.append((own[~below], level + 1, node, 1, from_here, high))
+                open_nodes.append((own[below], level + 1, node, 0, low, to_here))
         arrays = (feature, split, left, right, depth)
         kinds = (np.int64, np.float64, np.int64, np.int64, np.float64)
         return tuple(np.array(x, kind) for x, kind in zip(arrays, kinds, strict=True)), limit
@@ -217,22 +224,35 @@ def measured(docs: DataFrame) -> DataFrame:
 
 def fit(stats: DataFrame, labels: DataFrame, max_good_rejected: float = MAX_GOOD_REJECTED) -> Rules:
     """Rules from the statistics of documents and `labels` (doc_id, quality)."""
-    drawn = stats.filter(~base_failed()).orderBy(F.xxhash64("doc_id"), "doc_id", *STATS)
-    sample = drawn.limit(TREES * PER_TREE).toPandas()
-    rules = Rules(Forest(_vectors(sample)), None)
     usable = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id")
     agreed = usable.agg(F.min("quality").alias("good"), F.max("quality").alias("most"))
-    good = agreed.filter("good = 1 and most = 1").select("doc_id")
-    judged = stats.filter(~base_failed()).join(good, "doc_id")
-    bins = judged.select(F.ceil(rules.score_column() * BINS).alias("bin")).groupBy("bin").count()
-    bins = bins.toPandas().sort_values("bin")
-    if len(bins):
-        above = bins["count"].sum() - bins["count"].cumsum()
-        allowed = above <= max_good_rejected * bins["count"].sum()
-        rules.threshold = float(bins["bin"][allowed].min()) / BINS
+    agreed = agreed.filter("good = most").select("doc_id", "good")
+    judged = stats.filter(~base_failed()).join(agreed, "doc_id")
+    drawn = judged.filter("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS)
+    sample = drawn.limit(TREES * PER_TREE).toPandas()
+    rules = Rules(Forest(_vectors(sample)), None)
+    if len(sample):
+        bins = judged.select("good", F.ceil(rules.score_column() * BINS).cast("int").alias("bin"))
+        rules.threshold = _threshold(bins.groupBy("good", "bin").count().toPandas(), max_good_rejected)
     return rules
 
 
+def _threshold(bins, max_good_rejected: float) -> float:
+    """Score above which a document goes, from counts by label and bin."""
+    above = {}
+    for good in (0, 1):
+        own = bins[bins["good"] == good]
+        counts = np.bincount(own["bin"].astype(int), own["count"], BINS + 1)
+        above[good] = counts.sum() - np.cumsum(counts)
+    n_good = bins["count"][bins["good"] == 1].sum()
+    best = np.flatnonzero(above[1] <= max_good_rejected * n_good)
+    if above[0][best[0]] == 0:
+        return float(best[0]) / BINS
+    best = best[above[0][best] == above[0][best[0]]]
+    best = best[above[1][best] == above[1][best].min()]
+    return float((best[0] + best[-1]) // 2) / BINS
+
+
 def judge(stats: DataFrame, rules: Rules) -> DataFrame:
     """Statistics with base_failed, anomaly (the forest's score) and kept."""
     scored = stats.withColumn("anomaly", rules.score_column())

@@ -1,12 +1,14 @@
 """Cases in which an operator once did less than its whole job."""
 
 import collections
+import random
 
 import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
 
+from martwright.llm import isolation_rules  # noqa: E402
 from martwright.llm.queries import QUERIES  # noqa: E402
 
 
@@ -26,3 +28,19 @@ def test_backoff_query_counts_ngrams_that_occur_once(spark, tmp_path):
         logs = [np.log(counts[g] / counts[g[:-1]]) for g in grams]
         assert found[i].n_full == max(len(own) - 2, 0)
         assert found[i].mean_log_score == (pytest.approx(np.mean(logs), abs=1e-6) if own else None)
+
+
+def test_forest_finds_junk_by_lines_and_word_length(spark):
+    """Junk without symbols or marks: a line said again and again, encoded words."""
+    rng = random.Random(4)
+    vocabulary = ["w" * rng.randint(2, 8) + str(i) for i in range(400)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 200)))) for i in range(600)]
+    rows += [(1000 + i, "\n".join(f"{w}\nshare" for w in rng.sample(vocabulary, 80))) for i in range(20)]
+    rows += [(2000 + i, " ".join(rng.choice(vocabulary) * 9 for _ in range(80))) for i in range(20)]
+    stats = isolation_rules.measured(spark.createDataFrame(rows, "doc_id long, text string"))
+    marked = [(i, int(i < 1000)) for i, _ in rows if i % 2 == 0]
+    labels = spark.createDataFrame(marked, "doc_id long, quality int")
+    judged = isolation_rules.judge(stats, isolation_rules.fit(stats, labels)).collect()
+    assert not any(r.base_failed for r in judged)
+    assert not any(r.kept for r in judged if r.doc_id >= 1000)
+    assert sum(r.kept for r in judged if r.doc_id < 1000) >= 590
