@@ -5,8 +5,10 @@ line ends. Each is normalised (A-Z lower case, everything but letters a-z and di
 space) and mapped to the number of a known licence sentence, or to 0. The numbers, in the
 text's order, are matched against the rules from the first to the last: a rule is a
 licence and the numbers that must follow each other, and what a rule has matched is no
-longer there for later ones, so full texts come before their parts. Licence texts are often wrapped, so a
-second reading takes single line ends for spaces; both readings' licences are returned.
+longer there for later ones, so full texts come before their parts. Licence texts are
+often wrapped, so a second reading takes line ends for spaces, but for paragraph ends: lines
+without a letter or digit, which may hold spaces, comment marks or carriage returns. Both
+readings' licences are returned.
 
 Everything is one projection of built-in functions without a shuffle; the tables of
 sentences and rules are literals in it.
@@ -82,6 +84,7 @@ RULES = (
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACE = "[\\x20\\x09\\x0B-\\x0D]"
+_PARAGRAPH_END = "\n[^\\p{L}\\p{N}]*\n"
 
 
 def _sentences(text: str) -> list[str]:
@@ -117,8 +120,8 @@ def _numbers(text: Column, known: Column) -> Column:
 
 
 def _unwrapped(text: Column) -> Column:
-    """Line ends as spaces, but for empty lines."""
-    return F.translate(F.replace(text, F.lit("\n\n"), F.lit("\x01")), "\n\x01", " \n")
+    """Line ends as spaces, but for lines without a letter or digit."""
+    return F.translate(F.regexp_replace(text, _PARAGRAPH_END, "\x01"), "\n\x01", " \n")
 
 
 def _licences(numbers: Column, rules: Column) -> Column:

@@ -8,7 +8,7 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from martwright.llm import isolation_rules  # noqa: E402
+from martwright.llm import isolation_rules, license_rules  # noqa: E402
 from martwright.llm.queries import QUERIES  # noqa: E402
 
 
@@ -30,6 +30,39 @@ def test_backoff_query_counts_ngrams_that_occur_once(spark, tmp_path):
         assert found[i].mean_log_score == (pytest.approx(np.mean(logs), abs=1e-6) if own else None)
 
 
+def _wrapped(sentence, width=60):
+    lines, line = [], ""
+    for word in sentence.split(" "):
+        if line and len(line) + len(word) >= width:
+            lines.append(line)
+            line = word
+        else:
+            line = f"{line} {word}".strip()
+    return [*lines, line]
+
+
+# First line, comment mark, line between paragraphs, last line, line end.
+FORMS = [
+    ("/*", " * ", " *", " */", "\n"), ("#!", "# ", "#", "", "\n"), ("", "// ", "//", "", "\r\n"),
+    ("", "", "   ", "", "\n"), ("", "", "", "", "\r\n"), ("/*", " * ", " *\t", " */", "\r\n"),
+    ("", "", "", "", "\n"),
+]
+
+
+def test_wrapped_headers_of_every_rule(spark):
+    """A copyright line, a paragraph end and the wrapped sentences, in comments or CRLF."""
+    rows = []
+    for first, mark, blank, last, end in FORMS:
+        for name, keys in license_rules.RULES:
+            body = [line for k in keys for line in [*_wrapped(license_rules.SENTENCES[k]), None]]
+            lines = ["Copyright (c) 2020 x", None, *body]
+            shown = [first, *(blank if x is None else mark + x for x in lines), last, "import x"]
+            rows.append((len(rows), end.join(shown), name))
+    found = license_rules.scan(spark.createDataFrame(rows, "doc_id long, text string, name string"))
+    assert {r.doc_id: list(r.licences) for r in found.collect()} == {i: [name] for i, _, name in rows}
+
+
+
 def test_forest_finds_junk_by_lines_and_word_length(spark):
     """Junk without symbols or marks: a line said again and again, encoded words."""
     rng = random.Random(4)
