@@ -98,3 +98,24 @@ def test_a_failed_audit_leaves_landing_unpublished(spark):
 
 def test_entities():
     assert ENTITIES == ("customer", "product", "sales")
+
+
+def test_another_historical_delivery_is_refused(spark):
+    """Also if all its keys are known and only attributes differ."""
+    lake = medallion.Lakehouse(spark, new_folder(spark))
+
+    def batch(entity, load_type, label="", **columns):
+        return medallion.CLEANERS[entity](medallion.stamp_provenance(rows(spark, entity, 1, **columns), entity, load_type, label))
+
+    first = batch("product", "historical")
+    medallion.refine_products(lake, first, "historical")
+    medallion.refine_products(lake, batch("product", "incremental", unit_price=F.lit("9")), "incremental")
+    # Silver has taken this batch, though none of its rows is current any more.
+    medallion.refine_products(lake, first, "historical")
+    with pytest.raises(ValueError, match="historical product"):
+        medallion.refine_products(lake, batch("product", "historical", "corrected", unit_price=F.lit("8")), "historical")
+    customers = batch("customer", "historical")
+    medallion.refine_customers(lake, customers, "historical")
+    medallion.refine_customers(lake, customers, "historical")
+    with pytest.raises(ValueError, match="historical customer"):
+        medallion.refine_customers(lake, batch("customer", "historical", "corrected", age=F.lit("60")), "historical")
