@@ -12,6 +12,7 @@ from martwright.llm import (
     isolation_rules,
     license_rules,
     packing,
+    pii_anchors,
     quality_nbsvm,
     sentencepiece_prefix,
     simhash_golay,
@@ -124,3 +125,19 @@ def op10_sentencepiece_prefix(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op12_pii_anchors(spark, sf_dir):
+    found = pii_anchors.find(table(spark, sf_dir, "documents"))
+    base = pii_anchors.of_kinds(F.col("spans"), *pii_anchors.BASE_KINDS)
+    counts = [
+        F.size(pii_anchors.of_kinds(F.col("spans"), kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii_anchors.BASE_KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii_anchors.joined(base), 256).alias("base_sha256"),
+        pii_anchors.joined(F.col("spans")).alias("spans"),
+    )
