@@ -87,5 +87,42 @@ from documents d left join scores using (doc_id) group by d.doc_id
 """
 
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_OP11 = f"""
+with said as (
+  select doc_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), '{license_rules.UPPER}', '{license_rules.LOWER}'), '{_TERM}')) as term
+  from documents
+),
+sizes as (select doc_id, count(*) as n from said group by doc_id),
+corpus as (select count(*) as n_docs, cast(sum(n) as bigint) as n_terms from sizes),
+wanted as (
+  select distinct item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), '{license_rules.UPPER}', '{license_rules.LOWER}'), '{_TERM}')) as term
+  from benchmark
+),
+held as (
+  select doc_id, term, count(*) as tf from said
+  where term in (select term from wanted) group by doc_id, term
+),
+weights as (
+  select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as weight
+  from held, corpus group by term, n_docs
+),
+impacts as (
+  select doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)) as impact
+  from held join sizes using (doc_id), corpus
+),
+scores as (
+  select item_id, doc_id, cast(sum(weight * impact) as bigint) as score
+  from wanted join impacts using (term) join weights using (term) group by item_id, doc_id
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank,
+       doc_id, score
+from scores where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_rules": _op1(), "op6_backoff_lm": _OP6}
+    return {"op1_license_rules": _op1(), "op6_backoff_lm": _OP6, "op11_lemp_search": _OP11}

@@ -10,6 +10,7 @@ from martwright.llm import (
     backoff_lm,
     embedding_e8,
     isolation_rules,
+    lemp_search,
     license_rules,
     packing,
     pii_anchors,
@@ -141,3 +142,8 @@ def op12_pii_anchors(spark, sf_dir):
         F.sha2(pii_anchors.joined(base), 256).alias("base_sha256"),
         pii_anchors.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op11_lemp_search(spark, sf_dir):
+    return lemp_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
