@@ -124,5 +124,58 @@ qualify row_number() over (partition by item_id order by score desc, doc_id) <=
 """
 
 
+# crc32 of a number's digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce([4294967295::bigint] || list_transform(
+  string_split(cast(conv_id as varchar), ''), lambda c: ascii(c)::bigint),
+  lambda crc, byte: list_reduce([xor(crc, byte)] || [0, 0, 0, 0, 0, 0, 0, 0]::bigint[],
+    lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+_OP13 = f"""
+with turns as (
+  select conv_id, coalesce(text, '') as text, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) as said,
+         row_number() over (partition by conv_id
+                            order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place
+  from conversations where conv_id is not null
+),
+convs as (select conv_id, {_CRC} % 4 as h from (select distinct conv_id from turns)),
+rebuilt as (
+  select c.conv_id, 0 as part, place, said, text from convs c join turns t on t.conv_id = c.conv_id - c.conv_id % 20
+  where place <= h
+  union all
+  select c.conv_id, 1, place, said, text from convs c join turns t on t.conv_id = c.conv_id where place > h
+),
+paths as (
+  select c.conv_id, coalesce(list(said order by part, place) filter (said is not null), []) as said,
+         coalesce(list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) order by part, place)
+                  filter (said is not null), []) as words
+  from convs c left join rebuilt using (conv_id) group by c.conv_id
+),
+prefixes as (
+  select *, array_to_string(said[1:depth], ',') as node
+  from (select *, unnest(range(0, len(said) + 1)) as depth from paths)
+),
+nodes as (
+  select depth, node, min(conv_id) as conv_id, count(*) as n_convs, any_value(said) as said,
+         max(case when depth > 0 then words[depth] else 0 end) as words,
+         sha256(coalesce(string_agg(case when len(said) = depth then conv_id end, ',' order by conv_id), '')) as ends_sha256
+  from prefixes group by depth, node
+),
+children as (
+  select depth - 1 as depth, array_to_string(said[1:depth - 1], ',') as node, count(*) as n_children
+  from nodes where depth > 0 group by all
+),
+counted as (
+  select n.*, coalesce(n_children, 0) as n_children from nodes n left join children using (depth, node)
+),
+totals as (
+  select up as depth, array_to_string(said[1:up], ',') as node, count(*) filter (n_children = 0) as n_leaves,
+         cast(sum((n_convs - 1) * words) as bigint) as saved_tokens
+  from (select *, unnest(range(0, depth + 1)) as up from counted) group by all
+)
+select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+from counted n join totals using (depth, node)
+left join nodes p on p.depth = n.depth - 1 and p.node = array_to_string(n.said[1:n.depth - 1], ',')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_license_rules": _op1(), "op6_backoff_lm": _OP6, "op11_lemp_search": _OP11}
+    return {"op1_license_rules": _op1(), "op6_backoff_lm": _OP6, "op11_lemp_search": _OP11, "op13_conversation_trie": _OP13}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm import (
     backoff_lm,
+    conversation_trie,
     embedding_e8,
     isolation_rules,
     lemp_search,
@@ -147,3 +148,9 @@ def op12_pii_anchors(spark, sf_dir):
 @query
 def op11_lemp_search(spark, sf_dir):
     return lemp_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_conversation_trie(spark, sf_dir):
+    turns = conversation_trie.numbered(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(*conversation_trie.with_openings(turns))
