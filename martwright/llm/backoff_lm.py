@@ -1,25 +1,28 @@
-"""Stupid-backoff language-model scores from n-gram counts of the whole corpus.
+"""Stupid-backoff language-model scores from n-gram counts of all other documents.
 
-Documents are dealt into chunks by a hash of id and text. A chunk sends each different
-n-gram it holds once, with its own count, to the bucket of the n-gram's hash; buckets add
-up the counts of all chunks, which makes the count tables, and answer every chunk with
-the counts of the n-grams it has sent; a join by chunk brings them to the documents, whose
-n-grams are looked up and summed. An n-gram that every document holds is one entry for
-each chunk, so no bucket is hot. Bucket rows are sorted hashes in one binary value.
+Documents are dealt into chunks, blocks of neighbouring rows at a time, so that equal rows
+spread too. A chunk sends each different n-gram it holds once, with its own count, to the
+bucket of the n-gram's hash; buckets add up the counts of all chunks, which makes the
+count tables, and answer every chunk with the counts of the n-grams it has sent; a join by
+chunk brings them to the documents, whose n-grams are looked up and summed. An n-gram that
+every document holds is one entry for each chunk, so no bucket is hot. Bucket rows are
+sorted hashes in one binary value.
 
-Every n-gram that occurs is counted (MIN_COUNT = 1), so all orders go at once. With a
-higher least count orders 1 and 2 go first: a longer n-gram can reach it only if both
-n-grams that it is made of do, so a later wave sends only such candidates.
+A document is scored by what the others say: every count is the whole corpus' count less
+the document's own, so a word backs off where its n-gram occurs in no other document.
 
-    S(w | context) = count(context w) / count(context)       if seen MIN_COUNT times
+    S(w | context) = count(context w) / count(context)       if it occurs elsewhere
                    = ALPHA * S(w | context without its first word)   otherwise
-    S(w) = count(w) / number of words
+    S(w) = count(w) / N             if the word occurs elsewhere (N: words of the others)
+         = ALPHA / (N + 1)          otherwise
 
-N-grams lie inside documents, whose own counts are included; hashes have 64 bits.
+N-grams lie inside documents; hashes have 60 bits.
 
-Defined cases: null and empty texts have no words, score 0 and no mean; repeated rows are
-counted as often as given; a null doc_id is a document like any other; an empty table
-gives no rows.
+Defined cases: null and empty texts have no words, score 0 and no mean; each row is a
+document, so a repeated row finds its own n-grams in its copies; a null doc_id is a document
+like any other; the only document of a table is scored with N = 0; an empty table gives no
+rows; other columns are not read. `docs` is read twice and must give its rows in the same
+order, as a scan of files does.
 """
 
 import zlib
@@ -34,11 +37,13 @@ from pyspark.sql import functions as F
 from martwright.llm.common import Words, one_array
 
 ORDER = 3
-MIN_COUNT = 1
 ALPHA = 0.4
 CHUNK_BYTES = 12_000_000
 BUCKET_BYTES = 8_000_000
 
+# Rows that are dealt together, as a power of two.
+_BLOCK_BITS = 7
+_HASH_BITS = 60
 _U = np.uint64
 _REQUEST = "bucket int, chunk long, n int, grams binary, counts binary"
 _ANSWER = "chunk long, bucket int, n int, counts binary"
@@ -62,11 +67,12 @@ class _Grams:
         if len(words):
             index, distinct = words.encoded()
             hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], _U)[index]
-        self.of = {1: hashes}
+        whole = {1: hashes}
         for n in range(2, order + 1):
             longer = hashes.copy()
-            longer[1:] = _mix(self.of[n - 1][:-1] * _U(0x9E3779B97F4A7C15) + hashes[1:] + _U(n))
-            self.of[n] = longer
+            longer[1:] = _mix(whole[n - 1][:-1] * _U(0x9E3779B97F4A7C15) + hashes[1:] + _U(n))
+            whole[n] = longer
+        self.of = {n: h >> _U(64 - _HASH_BITS) for n, h in whole.items()}
 
     def __len__(self):
         return len(self.text)
@@ -108,7 +114,7 @@ def _sorted_unpacked(blob: bytes, size: int) -> np.ndarray:
 
 def _requests(chunk: int, n: int, grams: np.ndarray, counts: np.ndarray, buckets: int):
     """Rows of the sorted n-grams; a bucket is a range of hashes."""
-    bucket = ((grams >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int64)
+    bucket = ((grams >> _U(_HASH_BITS - 32)) * _U(buckets) >> _U(32)).astype(np.int64)
     edges = np.searchsorted(bucket, np.arange(buckets + 1))
     return [
         (b, chunk, n, _sorted_packed(grams[low:high]), _packed(counts[low:high]))
@@ -125,12 +131,12 @@ def _table(rows, schema: str) -> pa.Table:
     return pa.Table.from_arrays(arrays, [name for name, _ in fields])
 
 
-def _first_requests(table: pa.Table, orders, buckets: int) -> pa.Table:
+def _requests_of(table: pa.Table, order: int, buckets: int) -> pa.Table:
     chunk = table["chunk"][0].as_py()
-    grams = _Grams(_texts(table), max(orders))
+    grams = _Grams(_texts(table), order)
     # The empty n-gram's count is the number of words.
     rows = [(0, chunk, 0, _sorted_packed(np.zeros(1, _U)), _packed(np.array([len(grams)])))]
-    for n in orders:
+    for n in range(1, order + 1):
         rows += _requests(chunk, n, *np.unique(grams.of[n][grams.whole(n)], return_counts=True), buckets)
     return _table(rows, _REQUEST)
 
@@ -160,102 +166,75 @@ def _answers(table: pa.Table) -> pa.Table:
 
 
 class _Counts:
-    """Counts of a chunk's n-grams by order, from the answers it has got."""
+    """Counts of a chunk's n-grams in other documents, from the answers it has got."""
 
-    def __init__(self, grams: _Grams, answers: pa.Table, min_count: int):
-        self.grams, self.min_count = grams, min_count
+    def __init__(self, grams: _Grams, answers: pa.Table):
+        self.grams = grams
         self.answers: dict[int, list] = {}
         order = pc.sort_indices(answers, [("n", "ascending"), ("bucket", "ascending")])
         answers = answers.take(order)
         for n, blob in zip(answers["n"].to_pylist(), answers["counts"], strict=True):
             self.answers.setdefault(n, []).append(_unpacked(blob.as_py()))
-        self.words = int(self.answers[0][0][0])
-        self.at: dict[int, np.ndarray] = {}
-
-    def asked(self, n: int) -> np.ndarray:
-        """Places whose n-gram has been sent."""
-        whole = self.grams.whole(n)
-        if n <= 2:
-            return whole
-        often = self.of(n - 1) >= self.min_count
-        both = whole & often
-        both[1:] &= often[:-1]
-        return both
+        self.words = int(self.answers[0][0][0]) - grams.counts[grams.text]
 
     def of(self, n: int) -> np.ndarray:
-        """Count of the n-gram that ends in each word, 0 where it was not sent."""
-        if n not in self.at:
-            count = np.zeros(len(self.grams), np.int64)
-            asked = np.flatnonzero(self.asked(n))
-            if len(asked):
-                _, back = np.unique(self.grams.of[n][asked], return_inverse=True)
-                count[asked] = np.concatenate(self.answers[n])[back]
-            self.at[n] = count
-        return self.at[n]
-
-
-def _wave(n: int, min_count: int, buckets: int):
-    """Requests of order n, from a chunk's texts and the answers of lower orders."""
-
-    def requests(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        grams = _Grams(_texts(texts), n)
-        asked = _Counts(grams, answers, min_count).asked(n)
-        found = np.unique(grams.of[n][asked], return_counts=True)
-        return _table(_requests(texts["chunk"][0].as_py(), n, *found, buckets), _REQUEST)
-
-    return requests
-
-
-def _scores(texts: pa.Table, answers: pa.Table, order: int, min_count: int, alpha: float) -> pa.Table:
+        """Count in other documents of the n-gram that ends in each word, 0 where none does."""
+        count = np.zeros(len(self.grams), np.int64)
+        whole = np.flatnonzero(self.grams.whole(n))
+        if len(whole):
+            _, back = np.unique(self.grams.of[n][whole], return_inverse=True)
+            own = self.grams.text[whole] * (back.max() + 1) + back
+            _, place, times = np.unique(own, return_inverse=True, return_counts=True)
+            count[whole] = np.concatenate(self.answers[n])[back] - times[place]
+        return count
+
+
+def _scores(texts: pa.Table, answers: pa.Table, order: int, alpha: float) -> pa.Table:
     grams = _Grams(_texts(texts), order)
     score = np.zeros(len(grams))
-    used = np.zeros(len(grams), np.int64)
+    full, unseen = np.zeros((2, len(grams)), dtype=bool)
     if len(grams):
-        counts = _Counts(grams, answers, min_count)
-        ratio = counts.of(1) / counts.words
-        used[:] = 1
+        counts = _Counts(grams, answers)
+        before = counts.of(1)
+        unseen = before == 0
+        ratio = np.where(unseen, alpha / (counts.words + 1), before / np.maximum(counts.words, 1))
         for n in range(2, order + 1):
             whole, count, context = grams.whole(n), counts.of(n), np.zeros(len(grams), np.int64)
-            context[1:] = counts.of(n - 1)[:-1]
-            seen = whole & (count >= min_count)
-            ratio = np.where(seen, count / np.maximum(context, 1), np.where(whole, alpha * ratio, ratio))
-            used[seen] = n
+            context[1:] = before[:-1]
+            full = count > 0
+            ratio = np.where(full, count / np.maximum(context, 1), np.where(whole, alpha * ratio, ratio))
+            before = count
         score = np.log(ratio)
+    sums = [np.bincount(grams.text, flags, grams.n_texts).astype(np.int64) for flags in (full, unseen)]
     total = np.bincount(grams.text, score, grams.n_texts)
-    full = np.bincount(grams.text, used == order, grams.n_texts).astype(np.int64)
     return pa.Table.from_arrays(
-        [one_array(texts["doc_id"]), pa.array(grams.counts), pa.array(full), pa.array(total)],
-        ["doc_id", "n_words", "n_full", "log_score"],
+        [one_array(texts["doc_id"]), *map(pa.array, (grams.counts, *sums, total))],
+        ["doc_id", "n_words", "n_full", "n_unseen", "log_score"],
     )
 
 
-def score(
-    docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, alpha: float = ALPHA
-) -> DataFrame:
-    """doc_id, n_words, n_full (words scored by an n-gram of the full order) and log_score
-    (sum of the natural logarithms of S) of `docs` (doc_id, text)."""
-    if order < 2 or min_count < 1:
-        raise ValueError("the order is at least 2, the least count at least 1")
+def score(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
+    """doc_id, n_words, n_full (words scored by an n-gram of the full order), n_unseen (words
+    of no other document) and log_score (sum of the natural logarithms of S) of `docs`
+    (doc_id, text)."""
+    if order < 2:
+        raise ValueError("the order is at least 2")
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce("text", F.lit(""))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks, buckets = size // CHUNK_BYTES + 1, size // BUCKET_BYTES + 1
-    chunk = F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).alias("chunk")
+    block = F.shiftright(F.monotonically_increasing_id(), _BLOCK_BITS)
+    chunk = F.pmod(F.xxhash64(block), F.lit(chunks)).alias("chunk")
     dealt = docs.select(chunk, "doc_id", text.alias("text"))
-    orders = range(1, order + 1) if min_count == 1 else (1, 2)
 
     def first(table: pa.Table) -> pa.Table:
-        return _first_requests(table, orders, buckets)
+        return _requests_of(table, order, buckets)
 
     requests = dealt.groupBy("chunk").applyInArrow(first, _REQUEST)
     answers = requests.groupBy("n", "bucket").applyInArrow(_answers, _ANSWER)
-    for n in range(orders[-1] + 1, order + 1):
-        pairs = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-        requests = pairs.applyInArrow(_wave(n, min_count, buckets), _REQUEST)
-        answers = answers.unionByName(requests.groupBy("bucket").applyInArrow(_answers, _ANSWER))
 
     def last(texts: pa.Table, got: pa.Table) -> pa.Table:
-        return _scores(texts, got, order, min_count, alpha)
+        return _scores(texts, got, order, alpha)
 
-    schema = f"doc_id {kind}, n_words long, n_full long, log_score double"
+    schema = f"doc_id {kind}, n_words long, n_full long, n_unseen long, log_score double"
     return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(last, schema)

@@ -61,29 +61,23 @@ grams as (
   select doc_id, i, w, lag(w) over d as v, lag(w, 2) over d as u
   from words window d as (partition by doc_id order by i)
 ),
-one as (select w, count(*) as n from grams group by w),
-two as (select v, w, count(*) as n from grams where i > 1 group by v, w),
-three as (select u, v, w, count(*) as n from grams where i > 2 group by u, v, w),
-ratios as (
-  select g.doc_id, one.n / (select count(*) from words) as r1, two.n as n2, c1.n as m2, g.i,
-         three.n as n3, c2.n as m3
-  from grams g join one on g.w = one.w
-  left join two on g.v = two.v and g.w = two.w
-  left join one c1 on g.v = c1.w
-  left join three on g.u = three.u and g.v = three.v and g.w = three.w
-  left join two c2 on g.u = c2.v and g.v = c2.w
-),
-scores as (
-  select doc_id, i > 2 and n3 >= 2 as full_order,
-         case when i > 2 and n3 >= 2 then n3 / m3
-              else (case when i > 2 then 0.4e0 else 1e0 end)
-                   * (case when i > 1 and n2 >= 2 then n2 / m2 when i > 1 then 0.4e0 * r1 else r1 end)
-         end as s
-  from ratios
-)
-select d.doc_id, count(s) as n_words, count(*) filter (where full_order) as n_full,
-       round(sum(ln(s)) / count(s), 6) as mean_log_score
-from documents d left join scores using (doc_id) group by d.doc_id
+others as (
+  select doc_id, i, count(*) over () - count(*) over (partition by doc_id) as n,
+         count(*) over (partition by w) - count(*) over (partition by doc_id, w) as o1,
+         case when i > 1 then count(*) over (partition by v, w) - count(*) over (partition by doc_id, v, w) end as o2,
+         case when i > 2 then count(*) over (partition by u, v, w) - count(*) over (partition by doc_id, u, v, w) end as o3
+  from grams
+),
+contexts as (
+  select *, lag(o1) over d as p1, lag(o2) over d as p2
+  from others window d as (partition by doc_id order by i)
+),
+single as (select *, case when o1 > 0 then o1 / n else 0.4e0 / (n + 1) end as s1 from contexts),
+double as (select *, case when o2 > 0 then o2 / p1 when i > 1 then 0.4e0 * s1 else s1 end as s2 from single),
+triple as (select *, case when o3 > 0 then o3 / p2 when i > 2 then 0.4e0 * s2 else s2 end as s from double)
+select d.doc_id, count(s) as n_words, count(*) filter (o3 > 0) as n_full,
+       count(*) filter (o1 = 0) as n_unseen, round(sum(ln(s)) / count(s), 6) as mean_log_score
+from documents d left join triple using (doc_id) group by d.doc_id
 """
 
 

@@ -88,7 +88,7 @@ def op5_embedding_e8(spark, sf_dir):
 def op6_backoff_lm(spark, sf_dir):
     scored = backoff_lm.score(table(spark, sf_dir, "documents"), order=3)
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6))
-    return scored.select("doc_id", "n_words", "n_full", mean.alias("mean_log_score"))
+    return scored.select("doc_id", "n_words", "n_full", "n_unseen", mean.alias("mean_log_score"))
 
 
 @query

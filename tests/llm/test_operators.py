@@ -351,32 +351,62 @@ def test_classifier_on_held_out_rows(spark, docs, none):
     assert none.select(quality_nbsvm.score_column(model)).count() == 0
 
 
-def brute_scores(rows, order, least, alpha):
+def brute_scores(rows, order, alpha):
+    """doc_id, words, words by the full order, words of no other row, score."""
     lists = [words(t) for _, t in rows]
-    counts = collections.Counter(tuple(w[i - n : i]) for w in lists for n in range(order + 1) for i in range(max(n, 1), len(w) + 1))
-    for (doc_id, _), own in zip(rows, lists, strict=True):
-        total = 0.0
+    grams = [
+        collections.Counter(tuple(w[i - n : i]) for n in range(order + 1) for i in range(max(n, 1), len(w) + 1))
+        for w in lists
+    ]
+    everywhere = collections.Counter()
+    for own in grams:
+        everywhere.update(own)
+    for (doc_id, _), own, mine in zip(rows, lists, grams, strict=True):
+        total, full, unseen = 0.0, 0, 0
         for i in range(len(own)):
             factor = 1.0
             for n in range(min(order, i + 1), 0, -1):
                 gram = tuple(own[i + 1 - n : i + 1])
-                if n == 1 or counts[gram] >= least:
-                    total += np.log(factor * counts[gram] / counts[gram[:-1]])
+                others = everywhere[gram] - mine[gram]
+                if others:
+                    total += np.log(factor * others / (everywhere[gram[:-1]] - mine[gram[:-1]]))
+                    full += n == order
                     break
                 factor *= alpha
-        yield doc_id, len(own), round(total, 5)
+            else:
+                total += np.log(factor / (everywhere[()] - mine[()] + 1))
+                unseen += 1
+        yield doc_id, len(own), full, unseen, round(total, 5)
 
 
-@pytest.mark.parametrize("order,least", [(2, 2), (3, 2), (4, 3)])
-def test_backoff_equals_brute_force(docs, none, texts, monkeypatch, order, least):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_backoff_equals_brute_force(spark, docs, none, texts, monkeypatch, order):
     monkeypatch.setattr(backoff_lm, "CHUNK_BYTES", 40_000)
     monkeypatch.setattr(backoff_lm, "BUCKET_BYTES", 60_000)
-    found = backoff_lm.score(docs, order=order, min_count=least)
-    got = rows_by(found.withColumn("s", F.round("log_score", 5)), "doc_id", "n_words", "s")
-    expected = sorted(brute_scores(texts, order, least, 0.4), key=str)
-    assert [g[:2] for g in got] == [e[:2] for e in expected]
-    assert np.allclose([g[2] for g in got], [e[2] for e in expected], atol=2e-5)
+    monkeypatch.setattr(backoff_lm, "_BLOCK_BITS", 2)
+    found = backoff_lm.score(docs, order=order).withColumn("s", F.round("log_score", 5))
+    got = rows_by(found, "doc_id", "n_words", "n_full", "n_unseen", "s")
+    expected = sorted(brute_scores(texts, order, 0.4), key=str)
+    assert [g[:4] for g in got] == [e[:4] for e in expected]
+    assert np.allclose([g[4] for g in got], [e[4] for e in expected], atol=2e-5)
+    assert sum(e[2] for e in expected) > 0 and sum(e[3] for e in expected) > 0
     assert backoff_lm.score(none).count() == 0
+    alone = backoff_lm.score(spark.createDataFrame([(1, "a a b")], "doc_id long, text string")).first()
+    assert (alone.n_full, alone.n_unseen) == (0, 3)
+
+
+def test_equal_rows_of_a_language_model_spread_over_chunks(spark, monkeypatch):
+    """A third of all rows alike: no group of a chunk holds them all."""
+    monkeypatch.setattr(backoff_lm, "CHUNK_BYTES", 20_000)
+    rows = [(1, "the same words again and again")] * 3000 + [(i + 2, f"w{i} other") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    size = sum(len(t) for _, t in rows)
+    block = F.shiftright(F.monotonically_increasing_id(), backoff_lm._BLOCK_BITS)
+    chunk = F.pmod(F.xxhash64(block), F.lit(size // 20_000 + 1))
+    largest = docs.filter("doc_id = 1").groupBy(chunk).count().agg(F.max("count")).first()[0]
+    assert largest < 2000
+    scores = backoff_lm.score(docs).filter("doc_id = 1").select("n_full", "n_unseen").distinct().collect()
+    assert [tuple(r) for r in scores] == [(4, 0)]
 
 
 def test_licences(spark, none):
@@ -409,7 +439,8 @@ def test_queries_with_sql_match_it(spark):
 
     connection = duckdb.connect()
     connection.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
-    for name, sql in oracle_sql().items():
+    for name in ("op1_license_rules", "op6_backoff_lm"):
+        sql = oracle_sql()[name]
         mine = QUERIES[name](spark, SF_DIR).toPandas()
         theirs = connection.execute(sql).df()[list(mine.columns)]
         for frame in (mine, theirs):

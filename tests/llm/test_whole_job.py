@@ -1,6 +1,5 @@
 """Cases in which an operator once did less than its whole job."""
 
-import collections
 import random
 
 import numpy as np
@@ -12,22 +11,19 @@ from martwright.llm import isolation_rules, license_rules  # noqa: E402
 from martwright.llm.queries import QUERIES  # noqa: E402
 
 
-def test_backoff_query_counts_ngrams_that_occur_once(spark, tmp_path):
-    texts = ["a b c d", "a b e", "f g h i j", "k", ""]
+def test_backoff_query_scores_by_other_documents(spark, tmp_path):
+    """A copy is known in full; what only one document says backs off."""
+    texts = ["a b c d", "a b c d", "a b e", "f g h i j", "k", ""]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
         str(tmp_path / "documents.parquet")
     )
-    lists = [t.split() for t in texts]
-    counts = collections.Counter(
-        tuple(w[i - n : i]) for w in lists for n in range(4) for i in range(max(n, 1), len(w) + 1)
-    )
     found = {r.doc_id: r for r in QUERIES["op6_backoff_lm"](spark, str(tmp_path)).collect()}
-    for i, own in enumerate(lists):
-        # The longest n-gram that ends in a word always occurs: nothing backs off.
-        grams = [tuple(own[max(k - 2, 0) : k + 1]) for k in range(len(own))]
-        logs = [np.log(counts[g] / counts[g[:-1]]) for g in grams]
-        assert found[i].n_full == max(len(own) - 2, 0)
-        assert found[i].mean_log_score == (pytest.approx(np.mean(logs), abs=1e-6) if own else None)
+    assert [(found[i].n_full, found[i].n_unseen) for i in range(6)] == [(2, 0), (2, 0), (0, 1), (0, 5), (0, 1), (0, 0)]
+    # Of the 13 words beside it, two are a and b each; e backs off twice and is unknown.
+    logs = [np.log(2 / 14), np.log(2 / 2), np.log(0.4**3 / 15)]
+    assert found[2].mean_log_score == pytest.approx(np.mean(logs), abs=1e-6)
+    assert found[0].mean_log_score == pytest.approx(np.mean(np.log([2 / 13, 1, 1 / 2, 1])), abs=1e-6)
+    assert found[5].mean_log_score is None
 
 
 def _wrapped(sentence, width=60):
