@@ -23,12 +23,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import Words, text_slices
+from martwright.llm.common import Words, stored, text_slices
 
 #: Labelled rows learned from at most.
 MAX_ROWS = 12_000
 MIN_ROWS_WITH_FEATURE = 5
 EPOCHS = 10
+# Features take many times their text's memory, so they are taken of smaller slices.
+_SLICE = 1_000_000
 
 _CLASSES = 40
 _WORDS = 1 << 17
@@ -39,7 +41,7 @@ N_FEATURES = _PAIRS_AT + _WORDS
 
 # Character classes: 0 white space, 1 a-z, 2 A-Z, 3 digit, 4 other control characters,
 # 5 bytes beyond ASCII, from 6 on the ASCII marks in their order.
-_CLASS_OF = np.full(256, 5, np.int64)
+_CLASS_OF = np.full(256, 5, np.int32)
 _CLASS_OF[:0x20] = 4
 _CLASS_OF[0x7F] = 4
 _MARKS = [c for c in range(0x21, 0x7F) if not chr(c).isalnum()]
@@ -62,32 +64,32 @@ def features(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndar
             held[:] = False
             held[(own[:-2] * _CLASSES + own[1:-1]) * _CLASSES + own[2:]] = True
             grams = np.flatnonzero(held)
-            rows.append(np.full(len(grams), row))
-            found.append(grams)
+            rows.append(np.full(len(grams), row, np.int32))
+            found.append(grams.astype(np.int32))
     if len(words):
         index, distinct = words.encoded()
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], np.uint64)
         own = hashes[index]
-        rows.append(words.text)
-        found.append(_WORDS_AT + (own % np.uint64(_WORDS)).astype(np.int64))
+        rows.append(words.text.astype(np.int32))
+        found.append(_WORDS_AT + (own % np.uint64(_WORDS)).astype(np.int32))
         same = words.text[1:] == words.text[:-1]
         pairs = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ own[1:]) * np.uint64(0xD6E8FEB86659FD93)
-        rows.append(words.text[1:][same])
-        found.append(_PAIRS_AT + (pairs[same] >> np.uint64(47)).astype(np.int64))
+        rows.append(words.text[1:][same].astype(np.int32))
+        found.append(_PAIRS_AT + (pairs[same] >> np.uint64(47)).astype(np.int32))
         again = np.zeros(len(words), dtype=np.int64)
         again[1:] = same & (index[1:] == index[:-1])
         if len(words) > 3:
             grams = again[:-3] * 8 + again[1:-2] * 4 + again[2:-1] * 2 + again[3:]
             same = words.text[3:] == words.text[:-3]
-            rows.append(words.text[3:][same])
-            found.append(_FLAGS_AT + grams[same])
+            rows.append(words.text[3:][same].astype(np.int32))
+            found.append(_FLAGS_AT + grams[same].astype(np.int32))
     if not rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     rows, found = np.concatenate(rows), np.concatenate(found)
     if wanted is not None:
         keep = wanted[found]
         rows, found = rows[keep], found[keep]
-    both = np.unique(rows * N_FEATURES + found)
+    both = np.unique(rows.astype(np.int64) * N_FEATURES + found)
     return both // N_FEATURES, both % N_FEATURES
 
 
@@ -99,7 +101,7 @@ class Model:
     def score(self, column) -> np.ndarray:
         scores = []
         wanted = self.ratio != 0
-        for _, texts in text_slices(column):
+        for _, texts in text_slices(column, _SLICE):
             rows, found = features(texts, wanted)
             ratio = self.ratio[found]
             length = np.sqrt(np.bincount(rows, ratio * ratio, len(texts)))
@@ -174,26 +176,33 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
-    """Learn from `docs` (doc_id, text) that `labels` (doc_id, quality) marks 0 or 1."""
+    """Learn from `docs` (doc_id, text) that `labels` (doc_id, quality) marks 0 or 1.
+
+    Of a doc_id with several rows the text that hashes lowest is learned from."""
     usable = labels.filter("quality in (0, 1) and doc_id is not null").filter(~is_held_out())
     agreed = usable.groupBy("doc_id").agg(F.min("quality").alias("good"), F.max("quality").alias("most"))
     agreed = agreed.filter("good = most").select("doc_id", "good")
     order = F.xxhash64("doc_id")
+    there = stored(agreed.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled")
+    # A few more rows than wanted (eight standard deviations) lie below this hash, so a task
+    # sends only its share of them; the limit takes the rest off.
+    share = min(1.0, (max_rows + 8 * max_rows**0.5 + 64) / max(there.count(), 1))
+    below = min(int(share * 2**64) - 2**63, 2**63 - 1)
     # At most max_rows rows, so they may be broadcast.
-    chosen = agreed.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
-    chosen = F.broadcast(chosen.orderBy(order, "doc_id").limit(max_rows))
+    chosen = F.broadcast(there.filter(order <= below).orderBy(order, "doc_id").limit(max_rows))
 
-    @F.pandas_udf("array<int>")
-    def held(texts):
-        lists = []
-        for _, part in text_slices(pa.array(texts, pa.large_string())):
+    @F.arrow_udf("array<int>")
+    def held(texts: pa.Array) -> pa.Array:
+        values, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for _, part in text_slices(texts, _SLICE):
             rows, found = features(part)
-            lists += np.split(found.astype(np.int32), np.searchsorted(rows, np.arange(1, len(part))))
-        import pandas as pd
-
-        return pd.Series(lists)
+            values.append(found.astype(np.int32))
+            ends.append(ends[-1][-1] + np.searchsorted(rows, np.arange(1, len(part) + 1)))
+        offsets = pa.array(np.concatenate(ends), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values)))
 
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    text = F.min_by("text", F.xxhash64("text")).alias("text")
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.first("good").alias("good"), text)
     table = rows.select(held("text").alias("features"), "good", order.alias("place"), "doc_id")
     table = table.toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")]).combine_chunks()
     good = table["good"].to_numpy() == 1

@@ -326,7 +326,7 @@ def test_forest_sets_few_apart_and_threshold_keeps_good(spark):
     assert min(scores[1000 + i][0] for i in range(12)) > np.median([scores[i][0] for i in range(600)])
 
 
-def test_classifier_on_held_out_rows(spark, docs, none):
+def test_classifier_on_held_out_rows(spark, docs, none, monkeypatch):
     rng = random.Random(2)
     plain = ["the", "cat", "sat", "on", "a", "mat", "quite", "well"]
     rows, labels = [], []
@@ -346,6 +346,16 @@ def test_classifier_on_held_out_rows(spark, docs, none):
             assert (value >= 0.5) == (doc_id % 3 > 0)
     kept = quality_nbsvm.keep_good(docs, model, least=0.0)
     assert kept.columns == docs.columns and kept.count() == docs.count()
+    # At most max_rows rows are learned from, however often a labelled id is repeated.
+    learned = []
+    monkeypatch.setattr(quality_nbsvm, "fit_rows", lambda lists, good: learned.append(len(lists)))
+    twice = df.unionByName(df.filter("doc_id < 90"))
+    quality_nbsvm.fit(twice, marked, max_rows=50)
+    quality_nbsvm.fit(twice, marked, max_rows=100_000)
+    monkeypatch.undo()
+    # Document 0 has both labels.
+    usable = [i for i in range(1, 600) if zlib.crc32(str(i).encode()) % 3 != 1] + [700]
+    assert learned == [50, len([i for i in usable if i != 700 or zlib.crc32(b"700") % 3 != 1])]
     unfit = quality_nbsvm.fit(docs, marked.limit(0))
     assert {r.s for r in docs.select(quality_nbsvm.score_column(unfit).alias("s")).collect()} == {0.5}
     assert none.select(quality_nbsvm.score_column(model)).count() == 0
