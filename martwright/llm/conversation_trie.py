@@ -8,12 +8,12 @@ sum of the tasks before (a row a task). Equal sums at equal depth are one node:
 whose 124 bits agree are taken as equal.
 
 Totals. A node's weight is the number of its members' turns below it, which bounds the
-nodes below it. The topmost nodes with a weight of SHARD at most are shard roots; their
-subtrees are shards. Shards are sorted externally by reverse level order, and a task passes
+nodes below it. The topmost nodes with at most the square root of all turns as their weight
+(LEAST_SHARD at least) are shard roots; their subtrees are shards. Shards are sorted externally by reverse level order, and a task passes
 each node's totals forward to its parent through a priority queue that spills sorted runs,
 so it holds neither a shard nor a level. Totals of shard roots are summed by parent, and
-the same pass goes over the nodes above the shard roots, of which each level has fewer than
-turns / SHARD.
+the same pass goes over the nodes above the shard roots, of which a level has fewer than the
+square root of all turns.
 
 The conversations that end in a node are joined in blocks of neighbouring ids, and one
 task hashes a node's blocks one after the other without keeping them.
@@ -28,6 +28,7 @@ import hashlib
 import heapq
 import tempfile
 from array import array
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm.common import one_array, stored
 
-SHARD = 1_000_000
+LEAST_SHARD = 256
 QUEUE = 200_000
 GROUP = 20
 _ID_BLOCK_BITS = 10
@@ -312,8 +313,11 @@ def _zero() -> Column:
     return F.lit(0).cast("long")
 
 
-def _totals(nodes: DataFrame, paths: DataFrame, shard: int, limit: int) -> DataFrame:
+def _totals(nodes: DataFrame, paths: DataFrame, shard: int | None, limit: int) -> DataFrame:
     """Nodes with n_children, n_leaves and saved_tokens."""
+    if shard is None:
+        root = nodes.filter("depth = 0").select("weight").first()
+        shard = max(LEAST_SHARD, isqrt(root.weight if root else 0))
     light = (F.col("weight") <= shard) & (F.col("depth") > 0)
     above = nodes.filter(~light)
     # Where a conversation's path enters its shard.
@@ -338,7 +342,7 @@ def _totals(nodes: DataFrame, paths: DataFrame, shard: int, limit: int) -> DataF
     return below.unionByName(above.mapInArrow(_forward(limit), _FORWARD_SCHEMA))
 
 
-def trie(rebuilt: DataFrame, convs: DataFrame, shard: int = SHARD, limit: int = QUEUE) -> DataFrame:
+def trie(rebuilt: DataFrame, convs: DataFrame, shard: int | None = None, limit: int = QUEUE) -> DataFrame:
     """Nodes of the conversations `convs` (conv_id, length) with turns `rebuilt` (conv_id,
     depth from 1 to length, length, words, a, b): conv_id (smallest member), depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""

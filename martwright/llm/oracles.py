@@ -14,6 +14,13 @@ def _reading(text: str) -> str:
     return f"list_transform({said}, lambda s: coalesce(known.numbers[s], 0))"
 
 
+# Line ends as spaces, but for lines without a letter or digit.
+_UNWRAPPED = (
+    r"translate(regexp_replace(coalesce(text, ''), '\n[^\p{L}\p{N}]*\n', chr(1), 'g'),"
+    " chr(10) || chr(1), ' ' || chr(10))"
+)
+
+
 def _op1() -> str:
     numbers = license_rules.numbered()
     keys = ", ".join(f"'{s}'" for s in numbers)
@@ -30,7 +37,7 @@ def _op1() -> str:
 with known as (select map([{keys}], [{values}]) as numbers),
 readings as (
   select doc_id, {_reading("coalesce(text, '')")} as by_line,
-         {_reading("translate(replace(coalesce(text, ''), chr(10) || chr(10), chr(1)), chr(10) || chr(1), ' ' || chr(10))")} as unwrapped
+         {_reading(_UNWRAPPED)} as unwrapped
   from documents, known
 ),
 lines as (

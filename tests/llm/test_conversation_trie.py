@@ -68,10 +68,10 @@ def rebuilt(df):
     return conversation_trie.with_openings(conversation_trie.numbered(df))
 
 
-@pytest.mark.parametrize("shard, queue", [(1_000_000, 200_000), (40, 3), (0, 1)])
+@pytest.mark.parametrize("shard, queue", [(1_000_000, 200_000), (40, 3), (0, 1), (None, 200_000)])
 def test_equals_a_trie_in_memory(spark, conf, shard, queue):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    rows = conversations(random.Random(shard), 120)
+    rows = conversations(random.Random(shard or 9), 120)
     table = spark.createDataFrame(rows, SCHEMA).repartition(4)
     nodes = conversation_trie.trie(*rebuilt(table), shard=shard, limit=queue)
     assert found(nodes) == sorted(brute(rows), key=str)
