@@ -13,9 +13,9 @@ pairs hold two ids until they are distinct, then each side's vector is joined on
 
 Defined cases: vectors that are null, zero, or hold a null or non-finite component, and
 those with a null label, link with nothing; a row with a null vec_id links with nothing
-and has no component; where different vectors share the smallest id of their class, the
-first by label and components is compared and the others link with their copies only; an
-empty table gives no rows; other columns are not read.
+and has no component; rows of one vec_id with different vectors are compared each for
+itself and may lie in different components; an empty table gives no rows; other columns are
+not read.
 """
 
 from itertools import combinations, product
@@ -180,27 +180,22 @@ def near_duplicates(embeddings: DataFrame, least_cosine: float = LEAST_COSINE) -
         )
     )
     compared = rows.filter(usable)
-    classes = stored(
-        compared.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")),
-        "classes",
+    grouped = compared.groupBy("label", "embedding").agg(
+        F.min("vec_id").alias("first"), F.count("*").alias("n")
     )
-    first = classes.groupBy("id").agg(F.min(F.struct("label", "embedding", "n")).alias("first"))
-    first = stored(first.select("id", "first.*"), "first")
-    pairs = stored(links(first, least_cosine), "links")
+    # Written once, so a class keeps its number.
+    classes = stored(grouped.withColumn("id", F.monotonically_increasing_id()), "classes")
+    pairs = stored(links(classes, least_cosine), "links")
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    counts = both.join(first.select(F.col("id").alias("v"), "n"), "v").groupBy("u")
+    counts = both.join(classes.select(F.col("id").alias("v"), "n"), "v").groupBy("u")
     counts = counts.agg(F.sum("n").alias("others")).withColumnRenamed("u", "id")
     nodes = components(pairs).withColumnRenamed("node", "id")
-    found = first.join(counts, "id", "left").join(nodes, "id", "left")
-    found = found.select("id", F.col("label").alias("l"), F.col("embedding").alias("e"), "others", "component")
-    # Of classes with one id only the first has more than its copies.
-    same = (classes.id == found.id) & (classes.label == found.l) & (classes.embedding == found.e)
+    found = classes.join(counts, "id", "left").join(nodes, "id", "left")
+    found = found.withColumn("component", F.coalesce("component", "id"))
+    names = found.groupBy("component").agg(F.min("first").alias("component_id"))
     named = stored(
-        classes.join(found, same, "left").select(
-            classes.label,
-            classes.embedding,
-            (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", classes.id).alias("component_id"),
+        found.join(names, "component").select(
+            "label", "embedding", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"
         ),
         "named",
     )

@@ -9,8 +9,8 @@ MAX_GOOD_REJECTED of all good rows, one that rejects most bad rows and then fewe
 in the middle of the range where that holds; without bad rows the lowest.
 
 Statistics of every text are taken in one pass and stored. The trees take at most
-TREES * PER_TREE labelled good rows in all, those whose ids hash lowest; that is the method's
-own subsampling. The threshold is taken from a histogram of the scores of all labelled rows.
+TREES * PER_TREE labelled good documents in all, those whose ids hash lowest (of several rows
+with one id the least); that is the method's own subsampling. The threshold is taken from a histogram of the scores of all labelled rows.
 
 Defined cases: null and empty texts have no words and fail the base rules; labels that are
 null or contradict each other are left out; without labelled good rows there are no trees, all
@@ -19,7 +19,7 @@ scores are 0 and only the base rules reject; repeated rows are judged alike; an
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import Words, stored, text_slices
@@ -227,9 +227,16 @@ def fit(stats: DataFrame, labels: DataFrame, max_good_rejected: float = MAX_GOOD
     usable = labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id")
     agreed = usable.agg(F.min("quality").alias("good"), F.max("quality").alias("most"))
     agreed = agreed.filter("good = most").select("doc_id", "good")
-    judged = stats.filter(~base_failed()).join(agreed, "doc_id")
-    drawn = judged.filter("good = 1").orderBy(F.xxhash64("doc_id"), "doc_id", *STATS)
-    sample = drawn.limit(TREES * PER_TREE).toPandas()
+    judged = stored(stats.filter(~base_failed()).join(agreed, "doc_id"), "judged")
+    good, wanted, order = judged.filter("good = 1"), TREES * PER_TREE, F.xxhash64("doc_id")
+    # A few more rows than wanted (eight standard deviations) lie below this hash, so a task
+    # sends only its share of them.
+    share = min(1.0, (wanted + 8 * wanted**0.5 + 64) / max(good.select("doc_id").distinct().count(), 1))
+    drawn = good.filter(order <= min(int(share * 2**64) - 2**63, 2**63 - 1))
+    # One row a document, so an id with many rows is not the whole sample.
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy(*STATS))
+    drawn = drawn.withColumn("turn", turn).filter(F.col("turn") == 1)
+    sample = drawn.orderBy(order, "doc_id").limit(wanted).toPandas()
     rules = Rules(Forest(_vectors(sample)), None)
     if len(sample):
         bins = judged.select("good", F.ceil(rules.score_column() * BINS).cast("int").alias("bin"))

@@ -21,7 +21,7 @@ often as given; an empty table gives no rows; other columns are not read.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.common import Words, stored, text_slices
@@ -158,19 +158,26 @@ def _key_task(probing: bool):
     return task
 
 
+def _text_key() -> Column:
+    return F.xxhash64("text").alias("text_key")
+
+
 def fingerprint_table(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and print, the fingerprint as a signed long, of `docs` (doc_id, text)."""
+    """doc_id, print, the fingerprint as a signed long, and text_key, a hash of the text, of
+    `docs` (doc_id, text)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches):
         for batch in batches:
             for row, texts in text_slices(batch.column(1)):
                 prints = fingerprints(texts, shingle).view(np.int64)
+                ids, keys = (batch.column(i).slice(row, len(texts)) for i in (0, 2))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(texts)), pa.array(prints)], ["doc_id", "print"]
+                    [ids, pa.array(prints), keys], ["doc_id", "print", "text_key"]
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(task, f"doc_id {kind}, print long")
+    rows = docs.select("doc_id", "text", _text_key())
+    return rows.mapInArrow(task, f"doc_id {kind}, print long, text_key long")
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
@@ -186,24 +193,33 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found.select("u", "v").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, print and component_id (smallest doc_id reachable by links) of `docs`."""
+def _members(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """Fingerprint table with component (of fingerprints) and component_id (of documents)."""
     table = stored(fingerprint_table(docs, shingle), "fingerprints")
     classes = stored(table.groupBy("print").agg(F.min("doc_id").alias("first")), "classes")
     nodes = components(links(classes, max_bits))
     member = classes.join(nodes.withColumnRenamed("node", "print"), "print", "left")
     member = member.withColumn("component", F.coalesce("component", "print"))
     names = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(member.join(names, "component").select("print", "component_id"), "members")
-    return table.join(named, "print").select("doc_id", "print", "component_id")
+    named = stored(member.join(names, "component").select("print", "component", "component_id"), "members")
+    return table.join(named, "print")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, print and component_id (smallest doc_id reachable by links) of `docs`."""
+    return _members(docs, shingle, max_bits).select("doc_id", "print", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
-    """Of each component of `docs` the row with the smallest doc_id, with all its columns;
-    of rows with one doc_id the least. Rows without a doc_id cannot be named and stay."""
+    """One row, with all its columns, of each component of `docs`: of the smallest doc_id, and
+    of several such rows the least by fingerprint and text hash, or by all columns if the text
+    is the same. Rows of one doc_id in different components are chosen each for itself. Rows
+    without a doc_id cannot be named and stay."""
     names = docs.columns
-    found = near_duplicates(docs, shingle, max_bits)
-    first = stored(found.filter("doc_id = component_id").select("doc_id").distinct(), "kept")
-    rows = docs.select("doc_id", F.struct(*names).alias("row"))
-    named = rows.join(first, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
-    return named.select("row.*").unionByName(docs.filter("doc_id is null"))
+    found = _members(docs, shingle, max_bits).filter("doc_id is not null")
+    least = found.groupBy("component").agg(F.min(F.struct("doc_id", "print", "text_key")).alias("least"))
+    first = stored(least.select("least.doc_id", "least.text_key"), "kept")
+    rows = docs.select("doc_id", _text_key(), F.struct(*names).alias("row"))
+    named = rows.join(first, ["doc_id", "text_key"], "left_semi")
+    one = named.groupBy("doc_id", "text_key").agg(F.min("row").alias("row"))
+    return one.select("row.*").unionByName(docs.filter("doc_id is null"))

@@ -289,7 +289,8 @@ def remove_repeats(
     `docs` named in carry."""
     keyed = _with_text_key(docs, *carry)
     found = repeated_windows(_with_text_key(docs), window, anchor).groupBy("doc_id", "text_key")
-    lists = found.agg(F.collect_list(F.struct("place", "mask")).alias("own"))
+    # Copies of a row say the same, once.
+    lists = found.agg(F.collect_set(F.struct("place", "mask")).alias("own"))
     same = keyed.doc_id.eqNullSafe(lists.doc_id) & (keyed.text_key == lists.text_key)
     names = [f"carried_{i}" for i in range(len(carry))]
     texts = keyed.join(lists, same, "left").select(keyed.text, "own", *names)

@@ -7,7 +7,15 @@ import pytest
 
 pytest.importorskip("public_tokenizers")
 
-from martwright.llm import isolation_rules, license_rules  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from martwright.llm import (  # noqa: E402
+    embedding_e8,
+    isolation_rules,
+    license_rules,
+    simhash_golay,
+    substring_debruijn,
+)
 from martwright.llm.queries import QUERIES  # noqa: E402
 
 
@@ -73,3 +81,65 @@ def test_forest_finds_junk_by_lines_and_word_length(spark):
     assert not any(r.base_failed for r in judged)
     assert not any(r.kept for r in judged if r.doc_id >= 1000)
     assert sum(r.kept for r in judged if r.doc_id < 1000) >= 590
+
+
+def test_ids_that_different_vectors_share_lose_no_link(spark):
+    """Rows of vec_id 1 with two vectors: each links with the near copies of its own."""
+    rng = np.random.default_rng(8)
+    first, second = rng.normal(size=(2, 24))
+    near = lambda v: (v + 0.001 * rng.normal(size=24)).tolist()
+    rows = [(1, first.tolist(), 0), (1, second.tolist(), 0), (1, second.tolist(), 0)]
+    rows += [(10 + k, near(first), 0) for k in range(3)] + [(20 + k, near(second), 0) for k in range(2)]
+    # A third of all rows alike.
+    rows += [(100 + k, first.tolist(), 0) for k in range(5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sorted(tuple(r) for r in embedding_e8.near_duplicates(df).collect())
+    ones, twos = 3 + 5, 2 + 1
+    assert found == sorted(
+        [(1, ones, 1), (1, twos, 1), (1, twos, 1)]
+        + [(10 + k, ones, 1) for k in range(3)] + [(20 + k, twos, 1) for k in range(2)]
+        + [(100 + k, ones, 1) for k in range(5)]
+    )
+
+
+def test_ids_that_different_texts_share_lose_no_document(spark):
+    """Of each component one row stays, whatever ids its rows have."""
+    rng = random.Random(9)
+    text = lambda: " ".join(rng.choices([f"w{i}" for i in range(500)], k=80))
+    mine, other, third = text(), text(), text()
+    rows = [(1, mine, "x"), (1, other, "y"), (1, other, "z"), (2, other, "x"), (3, third, "x"), (1, third, "q")]
+    rows += [(5, mine, "copy")] * 6 + [(None, mine, "nameless"), (None, None, "nameless")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    kept = sorted(tuple(r) for r in simhash_golay.keep_first(df).collect() if r.doc_id is not None)
+    assert kept == sorted([(1, mine, "x"), (1, other, "y"), (1, third, "q")])
+    assert simhash_golay.keep_first(df).filter("doc_id is null").count() == 2
+
+
+def test_copies_of_a_row_say_their_repeats_once(spark):
+    """A third of all rows are one row: its segments are one set, not one a copy."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 300 + [(i, f"own {i} " + " ".join(f"x{i}y{k}" for k in range(40))) for i in range(2, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_debruijn.remove_repeats(df, window=35, carry=("doc_id",))
+    counts = found.groupBy("doc_id").agg(F.sum("result.n_removed").alias("n"), F.count("*").alias("rows"))
+    got = {r.doc_id: (r.n, r.rows) for r in counts.collect()}
+    assert got == {1: (300 * 60, 300), **{i: (0, 1) for i in range(2, 600)}}
+
+
+def test_forest_sample_is_one_row_a_document(spark, monkeypatch):
+    """An id with a third of all rows is one of the rows that the trees are grown on."""
+    seen = []
+    grown = isolation_rules.Forest.__init__
+    monkeypatch.setattr(isolation_rules, "TREES", 3)
+    monkeypatch.setattr(isolation_rules, "PER_TREE", 20)
+    monkeypatch.setattr(
+        isolation_rules.Forest, "__init__", lambda self, rows: seen.append(len(rows)) or grown(self, rows)
+    )
+    rng = random.Random(1)
+    rows = [(i, " ".join(rng.choices(["ab", "cde", "f", "ghij"], k=60)) + f" q{i}") for i in range(40)]
+    rows += [(7, rows[7][1])] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stats = isolation_rules.measured(df).withColumn("n_repeat_words", F.lit(0).cast("long"))
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, quality int")
+    isolation_rules.fit(stats, labels)
+    assert seen == [40]
