@@ -4,6 +4,11 @@ Quality classifier and quality rules drop what they reject, one document of each
 near-duplicate group stays, repeated passages are cut out of texts, and what is left is
 packed. A stage gets what the one before has kept, read from Parquet in the shared folder,
 so a lost executor costs a repeated task and never an earlier stage.
+
+Defined cases: null and empty texts go with the quality rules (too few words); a row
+without a doc_id is judged like any other but never a near-duplicate; rows that repeat an id
+are documents of their own until near-duplicates leave one of those that are alike; further
+columns are carried up to packing, whatever their names; an empty table gives no pieces.
 """
 
 import public_tokenizers
@@ -43,13 +48,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 35 words or more that lie elsewhere too; others
-    keep their text as it is."""
-    cleaned = substring_debruijn.remove_repeats(docs, window=35, carry=tuple(docs.columns))
+    """Documents without the passages of 35 words or more that lie elsewhere too, each copy of
+    a passage being taken out; other documents keep their text as it is. A document that was
+    nothing but such passages stays with an empty text."""
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    cleaned = substring_debruijn.remove_repeats(rows, window=35, carry=("row",))
+    kept = F.col("result.kept")
+    new = {"text": kept, "n_chars": F.char_length(kept).cast("long")}
     changed = F.col("result.n_removed") > 0
-    text = F.when(changed, F.col("result.kept")).otherwise(F.col("text"))
-    size = F.when(changed, F.char_length("result.kept").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+    old = {c: F.col("row").getField(c) for c in docs.columns}
+    return cleaned.select(
+        *(F.when(changed, new[c]).otherwise(v).alias(c) if c in new else v.alias(c) for c, v in old.items())
+    )
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
