@@ -1,7 +1,9 @@
 """Helpers shared by the operators: stored steps, text buffers, words."""
 
+import ctypes
 import tempfile
 import uuid
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -14,7 +16,7 @@ _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 #: Texts are taken from an Arrow batch in slices of about so many bytes.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,6 +48,20 @@ def one_array(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+@lru_cache(maxsize=1)
+def _trim():
+    """glibc's way to give freed memory back, where there is one."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: None
+
+
+def release_memory() -> None:
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def text_slices(column, size=SLICE_BYTES):
     """(first row, texts) pieces of a text column of about `size` bytes; null is empty."""
     column = pc.fill_null(one_array(column).cast(pa.large_string()), "")
@@ -57,7 +73,7 @@ def text_slices(column, size=SLICE_BYTES):
         yield row, column.slice(row, end - row)
         row = end
     # A worker waits with what it holds, next to those of other stages.
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

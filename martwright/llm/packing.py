@@ -29,7 +29,7 @@ from martwright.llm.word_bpe import token_ids
 TIERS = (2048, 1024, 512, 256)
 STEP_TOKENS = 32_768
 _POOL_TOKENS = 1_000_000
-_SLICE = 6_000_000
+_SLICE = 3_000_000
 _SCHEMA = (
     "doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long,"
     " offset long, window int, step_group long"
