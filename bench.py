@@ -8,7 +8,7 @@ import json
 import os
 import time
 
-from checks.queries import QUERIES, stored_fact
+from checks.queries import QUERIES, published_lake
 from martwright.session import build_session
 
 HEADLINE = (
@@ -50,8 +50,8 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     seconds(spark, names[0], sf_dir)
-    # The star that the KPIs read is stored outside the clock.
-    stored_fact(spark, sf_dir)
+    # The star that the KPIs read is published outside the clock.
+    published_lake(spark, sf_dir)
     times = {name: round(seconds(spark, name, sf_dir), 3) for name in names}
     print(
         json.dumps(

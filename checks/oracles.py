@@ -537,6 +537,7 @@ def oracle_sql() -> dict[str, str]:
         "dim_promotion": with_sql(sales, promotion_sql("clean_sales")),
         "dim_date": with_sql(sales, date_sql("clean_sales")),
         "fact_sales": with_sql(star_ctes(), "select * from fact"),
+        "fact_incremental": with_sql(star_ctes(), "select * from fact"),
         "unknown_member": with_sql(
             star_ctes(),
             " union all ".join(f"select '{k}' as key, count(*) filter ({k} = 0) as unknown_rows from fact" for k in ("customer_sk", "product_sk", "promotion_sk", "date_sk")),
@@ -546,6 +547,9 @@ def oracle_sql() -> dict[str, str]:
         "kpi_churn_heatmap": with_sql(customers, KPI_SQL["churn_heatmap"]),
         "kpi_product_quality": with_sql(product_ctes(), KPI_SQL["product_quality"]),
         "kpi_store_traffic": with_sql(star_ctes(), KPI_SQL["store_traffic"]),
+        "kpi_states_by_month": with_sql(
+            star_ctes(), " union all ".join(measures_sql(*report) for report in KPI_MEASURES)
+        ),
         "silver_invariants": f"""
             with broken as (select count(*) as n from (select transaction_id from ({src['src_sales']}) t group by 1 having count(*) <> 1) u),
             rules as (select unnest(['customer_has_one_current_row', 'customer_sk_not_null', 'product_id_unique', 'transaction_id_unique']) as rule)

@@ -20,7 +20,7 @@ from martwright.functions.parsing import to_day, to_double, to_whole
 from martwright.operators import audit, cleanse, dedup, kpis, lookups, merge, star
 from martwright.operators.keys import dense_key, id_order
 from martwright.plans import medallion
-from martwright.sources import files, provenance
+from martwright.sources import catalog, files, provenance
 from martwright.sources.staging import new_folder, stage
 from martwright.sources.tables import SnapshotTable
 
@@ -93,18 +93,18 @@ def merged_ledger(spark, sf_dir):
 
 
 def star_dimensions(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """The stored ledger and the stored dimensions."""
-    sales = stage(merged_ledger(spark, sf_dir))
+    """The ledger and the dimensions, whose keys come from stored rows."""
+    sales = merged_ledger(spark, sf_dir)
     return sales, {
-        "dim_customer": stage(star.dim_customer(customer_merge(spark, sf_dir).table())),
-        "dim_product": stage(star.dim_product(merged_products(spark, sf_dir))),
-        "dim_promotion": stage(star.dim_promotion(sales)),
-        "dim_date": stage(star.dim_date(sales)),
+        "dim_customer": star.dim_customer(customer_merge(spark, sf_dir).table()),
+        "dim_product": star.dim_product(merged_products(spark, sf_dir)),
+        "dim_promotion": star.dim_promotion(sales),
+        "dim_date": star.dim_date(sales),
     }
 
 
 def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
-    """Stored dimensions and the fact over them."""
+    """The dimensions and the fact over them."""
     sales, tables = star_dimensions(spark, sf_dir)
     tables["fact_sales"] = star.fact_sales(
         sales, tables["dim_customer"], tables["dim_product"], tables["dim_promotion"]
@@ -112,16 +112,35 @@ def star_tables(spark, sf_dir) -> dict[str, DataFrame]:
     return tables
 
 
-# Stored stars of each session, for the KPIs.
-_stars: WeakKeyDictionary = WeakKeyDictionary()
+def stamped(spark, sf_dir, entity, load_type, feed_name=None, label="") -> DataFrame:
+    """A cleaned feed as a batch that Silver takes."""
+    rows = cleaned_plan(spark, sf_dir, feed_name or f"src_{entity}_{LOADS[load_type]}")
+    names = {
+        "batch_id": provenance.batch_identity(entity, load_type, label),
+        "load_type": F.lit(load_type),
+    }
+    return stage(rows.withColumns(names))
+
+
+# Published stars of each session: after the historical load and after both.
+_lakes: WeakKeyDictionary = WeakKeyDictionary()
 
 
-def stored_fact(spark, sf_dir) -> DataFrame:
-    """The fact of a stored star, which the KPIs share."""
-    stars = _stars.setdefault(spark, {})
-    if sf_dir not in stars:
-        stars[sf_dir] = stage(star_tables(spark, sf_dir)["fact_sales"])
-    return stars[sf_dir]
+def published_lake(spark, sf_dir) -> medallion.Lakehouse:
+    """A lake whose star was published after the historical load and brought up to date
+    after the increment, which KPIs and star queries share."""
+    lakes = _lakes.setdefault(spark, {})
+    if sf_dir not in lakes:
+        read_tables(spark, sf_dir)
+        lake = medallion.Lakehouse(spark, new_folder(spark))
+        for load_type in LOADS:
+            customers, products, sales = (stamped(spark, sf_dir, e, load_type) for e in ENTITIES)
+            medallion.refine_customers(lake, customers, load_type, AS_OF)
+            medallion.refine_products(lake, products, load_type)
+            medallion.refine_sales(lake, sales)
+            medallion.build_star(lake)
+        lakes[sf_dir] = lake
+    return lakes[sf_dir]
 
 
 def contract_feed(spark, sf_dir, entity, load_type) -> DataFrame:
@@ -343,7 +362,7 @@ def medallion_e2e(spark, sf_dir):
     roots = {load_type: paths[load_type] for load_type in LOADS}
     medallion.run(lake, roots, paths["landing"], paths["silver"], AS_OF)
     return files.strict_union(
-        _measures(name, report) for name, report in medallion.kpi_report(lake.star()).items()
+        _measures(name, report) for name, report in medallion.published_kpis(lake).items()
     )
 
 
@@ -361,24 +380,23 @@ def _measures(name: str, report: DataFrame) -> DataFrame:
 
 @query
 def register_star(spark, sf_dir):
-    """Row counts of the stored star, read through the catalog, and the columns of a
+    """Row counts of the published star, read through the catalog, and the columns of a
     table registered again after it has got one more."""
-    lake = medallion.Lakehouse(spark, new_folder(spark))
-    for name, df in star_tables(spark, sf_dir).items():
-        lake.gold(name).write(df)
-        lake.gold(name).publish()
-    schema = "martwright_" + lake.root.rsplit("/", 1)[-1]
-    medallion.register_star(lake, schema, location=f"{lake.root}/catalog")
+    lake = published_lake(spark, sf_dir)
+    folder = new_folder(spark)
+    schema = "martwright_" + folder.rsplit("/", 1)[-1]
+    medallion.register_star(lake, schema, location=f"{folder}/catalog")
     counts = audit.row_counts(
         {name: spark.table(f"{schema}.{name}") for name in medallion.STAR_TABLES}
     )
     counts = counts.select(F.col("dataset").alias("table_name"), F.col("actual").alias("n_rows"))
     stored = stage(counts)
-    dates = lake.gold("dim_date")
-    dates.write(dates.latest().withColumn("half_year", F.ceil(F.col("quarter") / 2)))
-    dates.publish()
-    medallion.register_star(lake, schema, location=f"{lake.root}/catalog")
+    dates = lake.star()["dim_date"]
+    dates.withColumn("half_year", F.ceil(F.col("quarter") / 2)).write.parquet(f"{folder}/dates")
+    catalog.register_tables(spark, schema, {"dim_date": f"{folder}/dates"})
     width = len(spark.table(f"{schema}.dim_date").columns)
+    # The files stay, the entries of this run go.
+    spark.sql(f"DROP SCHEMA `{schema}` CASCADE")
     return stored.unionByName(
         spark.range(1).select(
             F.lit("dim_date columns").alias("table_name"), F.lit(width).cast("long").alias("n_rows")
@@ -733,6 +751,12 @@ def fact_sales(spark, sf_dir):
     return star_tables(spark, sf_dir)["fact_sales"]
 
 
+@query
+def fact_incremental(spark, sf_dir):
+    """The published fact, of which the increment has rebuilt only the months it changes."""
+    return published_lake(spark, sf_dir).star()["fact_sales"]
+
+
 @query
 def unknown_member(spark, sf_dir):
     """Fact rows per key that fell back to the Unknown member."""
@@ -747,27 +771,35 @@ def unknown_member(spark, sf_dir):
 
 @query
 def kpi_net_margin(spark, sf_dir):
-    return kpis.net_margin_by_store(stored_fact(spark, sf_dir))
+    return kpis.net_margin_by_store(published_lake(spark, sf_dir).star()["fact_sales"])
 
 
 @query
 def kpi_aov_by_promotion(spark, sf_dir):
-    return kpis.order_value_by_promotion(stored_fact(spark, sf_dir))
+    return kpis.order_value_by_promotion(published_lake(spark, sf_dir).star()["fact_sales"])
 
 
 @query
 def kpi_churn_heatmap(spark, sf_dir):
-    return kpis.churn_heatmap(star.dim_customer(customer_merge(spark, sf_dir).table()))
+    return kpis.churn_heatmap(published_lake(spark, sf_dir).star()["dim_customer"])
 
 
 @query
 def kpi_product_quality(spark, sf_dir):
-    return kpis.product_quality(star.dim_product(merged_products(spark, sf_dir)))
+    return kpis.product_quality(published_lake(spark, sf_dir).star()["dim_product"])
 
 
 @query
 def kpi_store_traffic(spark, sf_dir):
-    return kpis.store_traffic(stored_fact(spark, sf_dir))
+    return kpis.store_traffic(published_lake(spark, sf_dir).star()["fact_sales"])
+
+
+@query
+def kpi_states_by_month(spark, sf_dir):
+    """All KPIs from the states of months that an increment has replaced in part, a row for
+    each measure."""
+    reports = medallion.published_kpis(published_lake(spark, sf_dir))
+    return files.strict_union(_measures(name, report) for name, report in reports.items())
 
 
 # --- table checks -------------------------------------------------------------------

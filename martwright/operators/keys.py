@@ -20,9 +20,10 @@ def id_order(key: str) -> list[Column]:
 
 
 def dense_key(
-    df: DataFrame, order: list[Column], name: str, after: DataFrame | None = None
+    df: DataFrame, order: list[Column], name: str, after: DataFrame | int | None = None
 ) -> DataFrame:
-    """Number rows 1, 2, 3… in a total order, or on from the greatest key of `after`.
+    """Number rows 1, 2, 3… in a total order, or on from the greatest key of `after`, a
+    table or, where that is known from its publish records, the key itself.
 
     A global sort spreads rows over tasks by range on all ordering columns, which also
     splits a run of equal or NULL leading values. The sorted rows are written once with
@@ -48,8 +49,8 @@ def dense_key(
     )
 
 
-def greatest_key(df: DataFrame | None, name: str) -> Column:
-    """Greatest key as a scalar subquery; 0 for no table or an empty one."""
-    if df is None:
-        return F.lit(0).cast("bigint")
+def greatest_key(df: DataFrame | int | None, name: str) -> Column:
+    """Greatest key, of a table as a scalar subquery; 0 for no table or an empty one."""
+    if df is None or isinstance(df, int):
+        return F.lit(df or 0).cast("bigint")
     return F.coalesce(df.select(F.max(name)).scalar(), F.lit(0)).cast("bigint")

@@ -87,7 +87,13 @@ def classify_changes(source: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def _with_start(source: DataFrame, as_of: datetime.date | str | None) -> DataFrame:
-    default = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+    """Missing starts are the given day, or else the day on which the batch was taken."""
+    if as_of is not None:
+        default = F.lit(str(as_of)).cast("date")
+    elif "ingested_at" in source.columns:
+        default = F.coalesce(F.col("ingested_at").cast("date"), F.current_date())
+    else:
+        default = F.current_date()
     if "effective_start_date" not in source.columns:
         return source.withColumn("effective_start_date", default)
     given = to_day(F.col("effective_start_date").cast("string"))
@@ -194,20 +200,24 @@ class HistoryMerge:
 
 
 def merge_history(
-    target: DataFrame, source: DataFrame, as_of: datetime.date | str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    as_of: datetime.date | str | None = None,
+    greatest: int | None = None,
 ) -> HistoryMerge:
     """Close changed versions and add their successors and new customers.
 
-    A version without a start date starts on `as_of`. `late_starts` lists customers
-    whose new version would not start after the one it closes; the caller must refuse
-    such a batch.
+    A version without a start date starts on `as_of`, or else on the day of its
+    `ingested_at`. `late_starts` lists customers whose new version would not start after
+    the one it closes; the caller must refuse such a batch. Keys go on from `greatest`, or
+    else from the target's greatest one.
     """
     changes = version_changes(target, source, as_of)
     inserted = dense_key(
         changes,
         [*id_order(CUSTOMER_KEY), F.col("effective_start_date"), F.col("_hash")],
         CUSTOMER_SK,
-        after=target,
+        after=target if greatest is None else greatest,
     ).drop("_hash")
 
     successors = inserted.groupBy(CUSTOMER_KEY).agg(
@@ -247,7 +257,9 @@ def initialize_products(historical: DataFrame) -> DataFrame:
     return dense_key(historical, id_order(PRODUCT_KEY), PRODUCT_SK)
 
 
-def upsert_products(target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_products(
+    target: DataFrame, source: DataFrame, greatest: int | None = None
+) -> DataFrame:
     """Replace matching products under their key, add new ones under the next keys."""
     incoming = source.drop(PRODUCT_SK)
     untouched = target.join(incoming.select(PRODUCT_KEY), PRODUCT_KEY, "left_anti")
@@ -256,7 +268,7 @@ def upsert_products(target: DataFrame, source: DataFrame) -> DataFrame:
         new_keys(incoming, target, PRODUCT_KEY),
         id_order(PRODUCT_KEY),
         PRODUCT_SK,
-        after=target,
+        after=target if greatest is None else greatest,
     )
     return padded_union([untouched, replaced, added])
 
@@ -268,13 +280,15 @@ def initialize_ledger(historical: DataFrame) -> DataFrame:
     return dense_key(historical, id_order(SALES_KEY), SALES_SK)
 
 
-def ledger_additions(target: DataFrame, source: DataFrame) -> DataFrame:
+def ledger_additions(
+    target: DataFrame, source: DataFrame, greatest: int | None = None
+) -> DataFrame:
     """Transactions the ledger lacks, keyed on from its greatest key."""
     return dense_key(
         new_keys(source.drop(SALES_SK), target, SALES_KEY),
         id_order(SALES_KEY),
         SALES_SK,
-        after=target,
+        after=target if greatest is None else greatest,
     )
 
 

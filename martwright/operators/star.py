@@ -8,7 +8,8 @@ from martwright.contracts import UNKNOWN_LABEL, UNKNOWN_SK
 from martwright.functions.calendar import calendar_attributes, date_key
 from martwright.functions.parsing import to_day
 from martwright.operators.keys import dense_key
-from martwright.operators.lookups import lookup, lookup_as_of
+from martwright.operators.lookups import lookup, lookup_as_of, matching
+from martwright.sources.files import strict_union
 
 # Fixed value: the fact table's columns, in order.
 FACT_COLUMNS = (
@@ -52,17 +53,34 @@ def dim_product(products: DataFrame) -> DataFrame:
     return with_unknown(products)
 
 
-def dim_promotion(sales: DataFrame) -> DataFrame:
-    """Observed (id, type) pairs, keyed in that order."""
-    pairs = (
+def promotion_pairs(sales: DataFrame) -> DataFrame:
+    return (
         sales.select(promotion_number().alias("promotion_id"), "promotion_type")
         .filter(F.col("promotion_id") != 0)
         .distinct()
     )
-    keyed = dense_key(
-        pairs, [F.col("promotion_id"), F.col("promotion_type")], "promotion_sk"
+
+
+def dim_promotion(
+    sales: DataFrame, known: DataFrame | None = None, greatest: int | None = None
+) -> DataFrame:
+    """Observed (id, type) pairs, keyed in that order.
+
+    With the dimension as it was, `sales` need only be new ones: known pairs keep their
+    keys and new ones go on from the greatest."""
+    pair = ["promotion_id", "promotion_type"]
+    pairs = promotion_pairs(sales)
+    if known is None:
+        return with_unknown(dense_key(pairs, [F.col(c) for c in pair], "promotion_sk"))
+    # The type may be NULL.
+    same = (pairs.promotion_id == known.promotion_id) & pairs.promotion_type.eqNullSafe(
+        known.promotion_type
+    )
+    new = pairs.join(known, same, "left_anti")
+    after = known if greatest is None else greatest
+    return known.unionByName(
+        dense_key(new, [F.col(c) for c in pair], "promotion_sk", after=after)
     )
-    return with_unknown(keyed)
 
 
 def promotion_number() -> Column:
@@ -70,15 +88,49 @@ def promotion_number() -> Column:
     return F.col("promotion_id").try_cast("bigint")
 
 
-def dim_date(sales: DataFrame) -> DataFrame:
+def dim_date(sales: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Observed days; with the dimension as it was, `sales` need only be new ones."""
     days = (
         sales.select(to_day(F.col("transaction_date")).alias("date"))
         .filter(F.col("date").isNotNull())
         .distinct()
     )
-    return with_unknown(
-        days.withColumns(calendar_attributes(F.col("date"))), weekend=False
-    )
+    if known is not None:
+        days = days.join(known, "date", "left_anti")
+    dated = days.withColumns(calendar_attributes(F.col("date")))
+    return with_unknown(dated, weekend=False) if known is None else known.unionByName(dated)
+
+
+def sale_month() -> Column:
+    """Year and month of a sale as a number, 0 without a date."""
+    day = to_day(F.col("transaction_date"))
+    return F.coalesce(F.year(day) * 100 + F.month(day), F.lit(0)).cast("int")
+
+
+def affected_months(
+    ledger: DataFrame, new_sales: DataFrame, new_versions: DataFrame, new_products: DataFrame,
+    unknown_months: list[int],
+) -> DataFrame:
+    """Months (`sale_month`) whose fact rows a batch changes: those of new sales, those in which
+    a customer with a new version has bought on its first day or later, and those of sales
+    that had an unknown product, among `unknown_months`, and whose product has arrived.
+
+    A day of an older version's customer before the new one's start keeps its version.
+    """
+    starts = new_versions.groupBy("customer_id").agg(F.min("effective_start_date").alias("_from"))
+    first = F.min(F.year("_from") * 100 + F.month("_from"))
+    # One number, by which whole months are left unread.
+    first = starts.agg(first.alias("month")).first().month
+    touched = [new_sales.select("sale_month")]
+    if first is not None:
+        later = ledger.filter(F.col("sale_month") >= first).join(starts, "customer_id")
+        touched.append(
+            later.filter(to_day(F.col("transaction_date")) >= F.col("_from")).select("sale_month")
+        )
+    if unknown_months:
+        unresolved = ledger.filter(F.col("sale_month").isin(unknown_months))
+        touched.append(matching(unresolved, new_products, "product_id").select("sale_month"))
+    return strict_union(touched).distinct()
 
 
 def fact_sales(
@@ -87,9 +139,10 @@ def fact_sales(
     products: DataFrame,
     promotions: DataFrame,
     unknown: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per ledger row with the keys of its dimension members; without `unknown`,
-    keys that find no member stay NULL.
+    keys that find no member stay NULL. Columns in `carry` come along.
 
     A promotion is looked up by id and type, as it is keyed, so an id with two types
     does not multiply sales.
@@ -105,4 +158,4 @@ def fact_sales(
     found = lookup(found, products, ["product_id"], "product_sk", unknown)
     pair = ["promotion_id", "promotion_type"]
     found = lookup(found, promotions, pair, "promotion_sk", unknown)
-    return found.select(*FACT_COLUMNS)
+    return found.select(*FACT_COLUMNS, *carry)

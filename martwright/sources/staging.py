@@ -4,6 +4,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martwright.sources.tables import write_observed
+
 #: May be set at run time; otherwise spark.checkpoint.dir names the folder.
 SETTING = "spark.martwright.staging.dir"
 
@@ -29,3 +31,10 @@ def stage(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The same with the number of rows, counted by the write."""
+    path = new_folder(df.sparkSession)
+    count = write_observed(df, path)["count"]
+    return df.sparkSession.read.schema(df.schema).parquet(path), count

@@ -64,6 +64,7 @@ def test_the_flow_and_its_rerun(spark):
         "dim_customer": 8, "dim_product": 4, "dim_promotion": 2, "dim_date": 2, "fact_sales": 7,
     }
     assert medallion.kpi_report(tables)["net_margin_by_store"].first().gross_revenue == 73.5
+    assert medallion.published_kpis(lake)["net_margin_by_store"].first().gross_revenue == 73.5
 
     medallion.run(lake, roots, f"{root}/landing", f"{root}/silver", "2024-12-31")
     assert sizes() == (7, 3, 7)
