@@ -514,7 +514,9 @@ def oracle_sql() -> dict[str, str]:
             "select 'customer' as table_name, count(*) as rows_once, count(*) as rows_twice, 0 as differing from customers "
             "union all select 'product', count(*), count(*), 0 from products union all select 'sales', count(*), count(*), 0 from ledger "
             f"union all select 'src_customer_versions', n, n, 0 from (select (select count(*) from customers) + count(distinct customer_id) as n from clean_customer_versions) v "
-            f"union all select 'src_customer_inc', n, n, 0 from ({with_sql(customers, 'select (select count(*) from customers) + count(distinct customer_id) as n from clean_customer_inc')}) i",
+            f"union all select name, n, n, 0 from ({with_sql(customers, 'select (select count(*) from customers) + count(distinct customer_id) as n from clean_customer_inc')}) i, "
+            "(select unnest(['src_customer_inc', 'customer_undated']) as name) c "
+            "union all select 'product_b_c_b', count(*), count(*), 0 from products",
         ),
         "uniqueness_violations": f"select transaction_id, count(*) as n_rows from ({src['src_sales']}) t group by 1 having count(*) <> 1",
         "top_regions": with_sql(

@@ -649,8 +649,8 @@ def ledger_append(spark, sf_dir):
 
 @query
 def merge_idempotency(spark, sf_dir):
-    """Each merge applied twice, and an older customer batch after a newer one: rows before
-    and after the repetition, and rows that differ."""
+    """Each merge applied twice, and older batches after newer ones: rows before and after
+    the repetition, and rows that differ."""
     customers_inc = cleaned(spark, sf_dir, "src_customer_versions")
     products_inc = product_increment(spark, sf_dir)
     sales_inc = cleaned(spark, sf_dir, "src_sales_inc")
@@ -680,9 +680,35 @@ def merge_idempotency(spark, sf_dir):
             rows = stage(merge.merge_history(rows, increment, AS_OF).table())
         again = stage(merge.merge_history(rows, batch, AS_OF).table())
         outcome.append((name, rows, again))
+    outcome += _replays(spark, sf_dir)
     return files.strict_union(_difference(*case) for case in outcome)
 
 
+def _replays(spark, sf_dir):
+    """Batches that Silver has taken, delivered again after later ones: products B, C, B, and
+    customers without dates whose repetition comes on a later day."""
+    lake = medallion.Lakehouse(spark, new_folder(spark))
+    medallion.refine_products(lake, stamped(spark, sf_dir, "product", "historical"), "historical")
+    medallion.refine_customers(lake, stamped(spark, sf_dir, "customer", "historical"), "historical")
+    products = stamped(spark, sf_dir, "product", "incremental", label="B")
+    customers = stamped(spark, sf_dir, "customer", "incremental", label="U").drop("effective_start_date")
+    next_batch = {"batch_id": provenance.batch_identity("product", "incremental", "C"), "product_stock": F.lit(-1.0)}
+    medallion.refine_products(lake, products, "incremental")
+    medallion.refine_products(lake, products.withColumns(next_batch), "incremental")
+    once = stage(lake.products())
+    medallion.refine_products(lake, products, "incremental")
+    yield "product_b_c_b", once, lake.products()
+    next_batch = {
+        "batch_id": provenance.batch_identity("customer", "incremental", "V"),
+        "income_bracket": F.lit("NEXT"),
+    }
+    medallion.refine_customers(lake, customers, "incremental", AS_OF)
+    medallion.refine_customers(lake, customers.withColumns(next_batch), "incremental", "2010-01-01")
+    once = stage(lake.customers())
+    medallion.refine_customers(lake, customers, "incremental", "2015-01-01")
+    yield "customer_undated", once, lake.customers()
+
+
 def _difference(name, once, twice):
     both = once.withColumn("_n", F.lit(1)).unionByName(twice.withColumn("_n", F.lit(-1)))
     differing = both.groupBy(*once.columns).agg(F.sum("_n").alias("_n")).filter("_n != 0")
