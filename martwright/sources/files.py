@@ -3,6 +3,7 @@
 import re
 from collections.abc import Iterable
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ def list_feed_files(spark: SparkSession, root: str, entity: str) -> DataFrame:
         .select("path", "length")
     )
     # Listed paths may name scheme and host where the root does not.
-    inner = re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root).rstrip("/") + "/"
+    inner = _below_scheme(root).rstrip("/") + "/"
     begin = F.instr("path", inner) + len(inner)
     below_root = F.lower(F.col("path").substr(begin, F.length("path")))
     return files.filter(
@@ -64,6 +65,32 @@ def read_contract_csv(spark: SparkSession, entity: str, paths: str | list[str])
     return feed.select(*contract_columns(entity, feed.columns))
 
 
+def _below_scheme(path: str) -> str:
+    return re.sub("^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+
+
+def header_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The files in groups of one first line, by which a group can be read in one scan.
+
+    First lines are found by one scan of text, a line a file being kept; only they and
+    the paths reach the driver.
+    """
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("begin"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.filter("begin = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    given = {_below_scheme(path): path for path in paths}
+    groups: dict[str, list[str]] = {}
+    for row in first.collect():
+        path = given.pop(unquote(_below_scheme(row.path)))
+        groups.setdefault(row.header.lstrip("\ufeff").rstrip("\r"), []).append(path)
+    # Files without a line have no header; a scan of them says so.
+    return [sorted(group) for _, group in sorted(groups.items())] + [[path] for path in sorted(given.values())]
+
+
 def strict_union(frames: Iterable[DataFrame]) -> DataFrame:
     """By-name union that refuses frames with differing columns."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=False), frames)
@@ -79,16 +106,22 @@ def read_entity_feed(
 ) -> DataFrame:
     """One logical feed out of all matching files.
 
-    A folder is one delivery and is read in one scan. Deliveries may order their
-    columns differently, so folders meet in a by-name union; `per_file` does the same
-    for a folder that mixes headers.
+    Files with one header are read in one scan, however many they are, and the scans meet
+    in a by-name union. A folder is one delivery, whose first file speaks for the others;
+    another header in it fails the scan. `per_file` looks at the header of every file, for
+    folders that mix them.
     """
     folders = feed_folders(spark, root, entity)
-    groups = (
-        [[path] for paths in folders.values() for path in paths]
-        if per_file
-        else list(folders.values())
-    )
+    if per_file:
+        groups = header_groups(spark, [path for paths in folders.values() for path in paths])
+    elif len(folders) == 1:
+        groups = list(folders.values())
+    else:
+        speaks_for = {paths[0]: paths for paths in folders.values()}
+        groups = [
+            [path for first in group for path in speaks_for[first]]
+            for group in header_groups(spark, list(speaks_for))
+        ]
     return strict_union(read_contract_csv(spark, entity, group) for group in groups)
 
 

@@ -84,6 +84,21 @@ def test_a_folder_with_mixed_headers_fails_or_is_read_per_file(spark):
     assert {r.product_id for r in rows} == {"a-product_id", "b-product_id"}
 
 
+def test_files_of_one_header_are_one_scan(spark):
+    """300 files in folders of odd names with two headers: two scans, in both readings."""
+    root = f"{new_folder(spark)}/feed (a) 5%41"
+    names = list(SOURCE_COLUMNS["product"])
+    for folder, columns in (("one x", names), ("two", [*reversed(names)]), ("three", names)):
+        df = spark.range(0, 100, 1, 100).select(*[F.concat(F.lit(f"{folder}-{c}-"), "id").alias(c) for c in columns])
+        files.write_text_csv(df, f"{root}/{folder}/product")
+    for per_file in (False, True):
+        feed = files.read_entity_feed(spark, root, "product", per_file=per_file)
+        plan = feed._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 2
+        rows = feed.collect()
+        assert len(rows) == 300 and all(getattr(r, c).split("-")[1] == c for r in rows for c in names)
+
+
 def test_blanks_survive_the_raw_csv(spark):
     folder = new_folder(spark)
     files.write_text_csv(spark.createDataFrame([(" a ", "  ", None)], "x string, y string, z string"), folder)
