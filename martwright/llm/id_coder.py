@@ -1,50 +1,45 @@
 """Adaptive context-mixing range coder for token ids.
 
-Ids are dealt into blocks of about BLOCK ids. Each block starts with an empty model and
-has its own code words and checksum, so that any block can be read without the others.
-Within a block an id's probability mixes three predictions: the id last seen after the
-two ids before it (order 2), the id last seen after the one before it (order 1), and a
-frequency table of id buckets (order 0, uniform inside a bucket). The weights follow how
-often each prediction has come true. The range coder turns the id's share into code; the
-place inside a bucket, where all ids are alike, is written as plain bits beside it.
+Ids are dealt into blocks of about BLOCK ids. Each block starts with the same model, the
+segment's table of id frequencies and no contexts, and has its own code words and checksum,
+so that any block can be read without the others. Within a block an id's probability mixes
+three predictions: the id last seen after the two ids before it (order 2), the id last
+seen after the one before it (order 1), and the frequency table (order 0). The weights of
+orders 1 and 2 follow how often they have come true in the block; contexts are hashed, so
+different ones may share a place. Every bit of code comes from a modelled probability.
 
 All blocks of a segment are coded side by side, one id of each at a time: every step is
 a few array operations over the blocks. Integers only, so all machines agree.
 
-A coded segment, little-endian: the four bytes ACM1, number of blocks and number of ids
-(unsigned 32-bit); for each block its number of code words, its number of 16-bit bit
-words and its checksum (unsigned 32-bit; crc32 of its ids as unsigned 32-bit integers);
-the blocks' 32-bit code words; the blocks' bit words.
+A coded segment, little-endian: the four bytes ACM2; number of blocks, of ids, of different
+ids and of the frequency table's bytes (unsigned 32-bit); for each block its number of code
+words and its checksum (unsigned 32-bit; crc32 of its ids as unsigned 32-bit integers and
+then of its code words); the frequency table, zlib over the steps from id to id and then the shares (unsigned 32-bit, the
+lowest bytes of all first); the blocks' 16-bit code words.
+
+A segment holds MAX_KINDS different ids at most, of up to 32 bits; more raise ValueError.
 """
 
 import zlib
 
 import numpy as np
 
-MAGIC = b"ACM1"
+MAGIC = b"ACM2"
 BLOCK = 1024
 #: Blocks coded side by side at most, which bounds the tables' memory.
 LANES = 4096
-MAX_ID = 65_535
+MAX_KINDS = 1 << 17
 
 _CONTEXTS = 1024
-_NONE = MAX_ID  # no prediction yet; this id itself is always spelled out
-_REFRESH = 32
-_WEIGHT_BITS, _TABLE_BITS = 10, 10
+_WEIGHT_BITS, _TABLE_BITS = 10, 18
 _TOTAL_BITS = _WEIGHT_BITS + _TABLE_BITS
-_LOW_BITS, _WORD_BITS = 56, 32
+_ALL = 1 << _WEIGHT_BITS
+_LOW_BITS, _WORD_BITS = 56, 16
 _LEAST_RANGE = np.uint64(1 << (_LOW_BITS - _WORD_BITS))
 _LOW_MASK = np.uint64((1 << _LOW_BITS) - 1)
 _WORD, _OUT = np.uint64(_WORD_BITS), np.uint64(_LOW_BITS - _WORD_BITS)
-
-# Order-0 buckets, narrow where frequent ids lie: (number of buckets, bits inside one).
-_LAYOUT = ((4, 7), (4, 8), (4, 11), (4, 14))
-_BITS = np.repeat([bits for _, bits in _LAYOUT], [n for n, _ in _LAYOUT]).astype(np.int32)
-_BUCKETS = len(_BITS)
-_BASE = np.concatenate([[0], np.cumsum(1 << _BITS)[:-1]]).astype(np.int32)
-_BUCKET_OF = (np.searchsorted(_BASE, np.arange(MAX_ID + 1), "right") - 1).astype(np.int32)
-# For a prediction that came true there are no bits inside a bucket.
-_BITS = np.append(_BITS, 0).astype(np.int32)
+# Weights: at the start, at least, and what coming true adds; of 65,536.
+_FIRST_RATE, _LEAST_RATE, _TRUE = 1 << 11, np.int32(320), np.int32(64_000)
 
 _U = np.uint64
 
@@ -57,68 +52,86 @@ def _context_two(last, second):
     return (last * 0x9E5 + second * 0x6F35 >> 4) & (_CONTEXTS - 1)
 
 
+class _Table:
+    """Order 0: the different ids, by rank, and each one's share of 1 << _TABLE_BITS."""
+
+    def __init__(self, kinds: np.ndarray, shares: np.ndarray):
+        self.kinds, self.shares = kinds, shares.astype(np.int32)
+        self.starts = (np.cumsum(shares) - shares).astype(np.int32)
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> tuple["_Table", np.ndarray]:
+        """The table of some ids, and their ranks in it."""
+        if int(ids.max()) < 1 << 20:
+            counts = np.bincount(ids)
+            kinds = np.flatnonzero(counts)
+            rank = np.cumsum(counts > 0, dtype=np.int32) - 1
+            ranks, counts = rank[ids], counts[kinds]
+        else:
+            kinds, ranks, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        if len(kinds) > MAX_KINDS:
+            raise ValueError(f"a segment holds up to {MAX_KINDS} different ids")
+        # One each, the rest by frequency, what is left over to the most frequent.
+        spare = (1 << _TABLE_BITS) - len(kinds)
+        shares = 1 + counts.astype(np.int64) * spare // len(ids)
+        shares[np.argmax(shares)] += (1 << _TABLE_BITS) - shares.sum()
+        return cls(kinds.astype(np.uint32), shares), ranks.astype(np.int32)
+
+    def packed(self) -> bytes:
+        steps = np.diff(self.kinds, prepend=np.uint32(0)).astype("<u4")
+        values = np.concatenate([steps, self.shares.astype("<u4")])
+        return zlib.compress(values.view(np.uint8).reshape(-1, 4).T.tobytes(), 6)
+
+    @classmethod
+    def unpacked(cls, code: bytes, size: int) -> "_Table":
+        try:
+            planes = np.frombuffer(zlib.decompress(code), np.uint8)
+        except zlib.error as damage:
+            raise ValueError("the frequency table is damaged") from damage
+        if len(planes) != 8 * size:
+            raise ValueError("the frequency table does not fit")
+        values = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+        shares = values[size:].astype(np.int64)
+        if shares.sum() != 1 << _TABLE_BITS or not shares.all():
+            raise ValueError("the frequency table is damaged")
+        return cls(np.cumsum(values[:size], dtype=np.uint32), shares)
+
+    def by_slot(self) -> np.ndarray:
+        """The rank that each slot of the shares belongs to."""
+        return np.repeat(np.arange(len(self.shares), dtype=np.int32), self.shares)
+
+
 class _Model:
-    """Predictions for so many blocks; their tables lie one after the other."""
+    """Predictions of orders 1 and 2 for so many blocks, as ranks, -1 for none yet; the
+    blocks' contexts lie one after the other."""
 
     def __init__(self, lanes: int):
-        self.after_one = np.full(lanes * _CONTEXTS, _NONE, np.int32)
-        self.after_two = np.full(lanes * _CONTEXTS, _NONE, np.int32)
+        self.after_one = np.full(lanes * _CONTEXTS, -1, np.int32)
+        self.after_two = np.full(lanes * _CONTEXTS, -1, np.int32)
         self.row = np.arange(lanes, dtype=np.int32) * _CONTEXTS
-        self.rate_one = np.full(lanes, 1 << 12, np.int32)
-        self.rate_two = np.full(lanes, 1 << 12, np.int32)
-        self.lane = np.arange(lanes, dtype=np.int32)
-        self.counts = np.full((_BUCKETS + 1, lanes), 2, np.int32)
-        self.seen = np.zeros((_REFRESH, lanes), np.int32)
-        self.steps = 0
-
-    def _refresh(self) -> None:
-        """Order-0 table from the buckets seen so far: each has a share of 1 at least."""
-        lanes = len(self.row)
-        if self.steps:
-            at = (self.seen * lanes + self.lane).ravel()
-            self.counts += np.bincount(at, minlength=(_BUCKETS + 1) * lanes).reshape(
-                _BUCKETS + 1, lanes
-            ).astype(np.int32)
-        sums = np.zeros((_BUCKETS + 1, lanes), np.int32)
-        np.cumsum(self.counts[:_BUCKETS], axis=0, out=sums[1:])
-        spread = (1 << _TABLE_BITS) - _BUCKETS
-        sums = sums * spread // sums[-1] + np.arange(_BUCKETS + 1, dtype=np.int32)[:, None]
-        self.floors = sums[1:_BUCKETS].astype(np.uint16)
-        # Where a bucket begins and its share, in one number.
-        self.table = (sums[:-1] << 16 | np.diff(sums, axis=0)).ravel()
+        self.rate_one = np.full(lanes, _FIRST_RATE, np.int32)
+        self.rate_two = np.full(lanes, _FIRST_RATE, np.int32)
 
     def predict(self, at_one, at_two) -> None:
         """Shares of the next id of the first blocks, whose contexts are given."""
-        if self.steps % _REFRESH == 0:
-            self._refresh()
         k = len(at_one)
         self.at_one, self.at_two = at_one, at_two
         self.one = self.after_one.take(at_one)
         self.two = self.after_two.take(at_two)
         # A prediction has a share where it exists; order 1 only where it differs.
-        self.share_two = (self.rate_two[:k] >> 6) * (self.two != _NONE)
-        self.has_one = (self.one != _NONE) & (self.one != self.two)
-        self.share_one = (
-            self.rate_one[:k] * ((1 << _WEIGHT_BITS) - self.share_two) >> 16
-        ) * self.has_one
+        self.share_two = (self.rate_two[:k] >> 6) * (self.two >= 0)
+        self.has_one = (self.one >= 0) & (self.one != self.two)
+        self.share_one = (self.rate_one[:k] * (_ALL - self.share_two) >> 16) * self.has_one
         self.taken = self.share_two + self.share_one
-        self.rest = (1 << _WEIGHT_BITS) - self.taken
-
-    def bucket(self, bucket):
-        entry = self.table.take(bucket * len(self.row) + self.lane[: len(bucket)])
-        return entry >> 16, entry & 0xFFFF
+        self.rest = _ALL - self.taken
 
-    def learn(self, ids, hit_two, hit_one, bucket) -> None:
-        """bucket is _BUCKETS where a prediction has come true."""
-        k = len(ids)
-        rate = self.rate_two[:k]
-        rate += (hit_two * np.int32(60_000) + np.int32(2048) - rate) >> 5
-        rate = self.rate_one[:k]
-        rate += ((hit_one * np.int32(60_000) + np.int32(2048) - rate) >> 5) * self.has_one
-        self.seen[self.steps % _REFRESH, :k] = bucket
-        self.after_one[self.at_one] = ids
-        self.after_two[self.at_two] = ids
-        self.steps += 1
+    def learn(self, ranks, hit_two, hit_one) -> None:
+        rate = self.rate_two[: len(ranks)]
+        rate += ((hit_two * _TRUE + _LEAST_RATE - rate) >> 5) * (self.two >= 0)
+        rate = self.rate_one[: len(ranks)]
+        rate += ((hit_one * _TRUE + _LEAST_RATE - rate) >> 5) * self.has_one
+        self.after_one[self.at_one] = ranks
+        self.after_two[self.at_two] = ranks
 
 
 def _lengths(n_ids: int) -> np.ndarray:
@@ -128,206 +141,194 @@ def _lengths(n_ids: int) -> np.ndarray:
     return np.where(np.arange(blocks) < n_ids - blocks * (longest - 1), longest, longest - 1)
 
 
-def _encode_lanes(ids: np.ndarray, full: int):
-    """Code words, bit words and their numbers for the columns of ids; the last row
-    counts for the first `full`."""
-    steps, lanes = ids.shape
+def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
+    """Code words and their numbers for the columns of ranks; the last row counts for the
+    first `full`."""
+    steps, lanes = ranks.shape
     model = _Model(lanes)
-    ids = ids.astype(np.int32)
     before = np.zeros((steps + 2, lanes), np.int32)
-    before[2:] = ids
+    before[2:] = ranks
     at_one = _context_one(before[1:-1]) + model.row
     at_two = _context_two(before[1:-1], before[:-2]) + model.row
-    buckets = _BUCKET_OF[ids]
     low, width = np.zeros(lanes, _U), np.full(lanes, 1 << _LOW_BITS, _U)
-    room = steps + 4
-    words = np.zeros(lanes * room, _U)
+    # A step takes 28 bits at most, which is two words.
+    room = 2 * steps + 6
+    words = np.zeros(lanes * room, np.uint32)
     size = np.arange(lanes, dtype=np.int64) * room
     for step in range(steps):
         k = lanes if step < steps - 1 else full
-        now, bucket = ids[step, :k], buckets[step, :k]
+        now = ranks[step, :k]
         model.predict(at_one[step, :k], at_two[step, :k])
         hit_two = (now == model.two) & (model.share_two > 0)
-        hit_one = (now == model.one) & model.has_one & ~hit_two
-        start, share = model.bucket(bucket)
+        hit_one = (now == model.one) & model.has_one & (model.share_one > 0)
+        start = table.starts.take(now)
+        share = table.shares.take(now)
         start *= model.rest
         start += model.taken << _TABLE_BITS
         share *= model.rest
         at = np.flatnonzero(hit_two)
-        start[at], share[at], bucket[at] = 0, model.share_two[at] << _TABLE_BITS, _BUCKETS
+        start[at], share[at] = 0, model.share_two[at] << _TABLE_BITS
         at = np.flatnonzero(hit_one)
-        start[at] = model.share_two[at] << _TABLE_BITS
-        share[at], bucket[at] = model.share_one[at] << _TABLE_BITS, _BUCKETS
+        start[at], share[at] = model.share_two[at] << _TABLE_BITS, model.share_one[at] << _TABLE_BITS
         unit = width[:k] >> _U(_TOTAL_BITS)
         low[:k] += start.astype(_U) * unit
         np.multiply(share.astype(_U), unit, out=width[:k])
         over = np.flatnonzero(low[:k] > _LOW_MASK)
         if len(over):
-            words[size[over] - 1] += _U(1)
+            words[size[over] - 1] += np.uint32(1)
             low[over] &= _LOW_MASK
         put = np.flatnonzero(width[:k] < _LEAST_RANGE)
-        words[size[put]] = low[put] >> _OUT
-        size[put] += 1
-        low[put] = (low[put] << _WORD) & _LOW_MASK
-        width[put] <<= _WORD
-        model.learn(now, hit_two, hit_one, bucket)
+        while len(put):
+            words[size[put]] = low[put] >> _OUT
+            size[put] += 1
+            low[put] = (low[put] << _WORD) & _LOW_MASK
+            width[put] <<= _WORD
+            put = put[width[put] < _LEAST_RANGE]
+        model.learn(now, hit_two, hit_one)
+    # Two more words name a place inside the last range, whatever follows them.
+    low += _U((1 << (_LOW_BITS - 2 * _WORD_BITS)) - 1)
+    over = np.flatnonzero(low > _LOW_MASK)
+    words[size[over] - 1] += np.uint32(1)
+    low &= _LOW_MASK
     for _ in range(2):
         words[size] = low >> _OUT
         low = (low << _WORD) & _LOW_MASK
         size += 1
     words = words.reshape(lanes, room)
-    while (over := words >> _WORD).any():
-        words &= _U(0xFFFFFFFF)
+    while (over := words >> np.uint32(_WORD_BITS)).any():
+        words &= np.uint32(0xFFFF)
         words[:, :-1] += over[:, 1:]
     size -= np.arange(lanes) * room
-    if full < lanes:
-        buckets[-1, full:] = _BUCKETS
-    bits, used = _pack_bits(ids - np.append(_BASE, 0)[buckets], _BITS[buckets])
-    return words[np.arange(room) < size[:, None]].astype("<u4"), size, bits, used
-
-
-def _pack_bits(values: np.ndarray, lengths: np.ndarray):
-    """The low bits of each column's values, one after the other in 16-bit words."""
-    at = np.zeros((len(lengths) + 1, lengths.shape[1]), np.int32)
-    np.cumsum(lengths, axis=0, dtype=np.int32, out=at[1:])
-    used = -(-at[-1].astype(np.int64) // 16)
-    at += ((np.cumsum(used) - used) * 16).astype(np.int32)
-    values &= (1 << lengths) - 1
-    values <<= at[:-1] & 15
-    at >>= 4
-    words = np.zeros(used.sum() + 2, np.int32)
-    for step in range(len(values)):
-        place, spread = at[step], values[step]
-        words[place] |= spread & 0xFFFF
-        place += 1
-        words[place] |= spread >> 16
-    return words[:-2].astype("<u2"), used
-
-
-def _decode_lanes(words, size, bit_words, used, steps: int, full: int) -> np.ndarray:
-    """The ids that _encode_lanes has coded, as columns."""
+    return words[np.arange(room) < size[:, None]].astype("<u2"), size
+
+
+def _decode_lanes(words, size, steps: int, full: int, table: _Table, by_slot) -> np.ndarray:
+    """The ranks that _encode_lanes has coded, as columns."""
     lanes = len(size)
     model = _Model(lanes)
     width = np.full(lanes, 1 << _LOW_BITS, _U)
-    # Each place holds a word and the one after it, as reads are not aligned.
-    words = np.append(words, [0, 0, 0, 0]).astype(_U)
-    words = (words[:-1] << _WORD) | words[1:]
+    words = np.append(words, [0] * 8).astype(_U)
     at = np.cumsum(size) - size
-    spare = _U(2 * _WORD_BITS - _LOW_BITS)
-    code = words[at] >> spare
-    at += 1
-    bit_words = np.append(bit_words, [0, 0]).astype(np.int64)
-    bit_words = (bit_words[:-1] | (bit_words[1:] << 16)).astype(np.int64)
-    bit_at = (np.cumsum(used) - used) * 16
-    ids = np.zeros((steps, lanes), np.int32)
+    # The first 56 bits: three words and half of the fourth, the rest of which comes later.
+    code = (words[at] << _U(32)) | (words[at + 1] << _U(16)) | words[at + 2]
+    code = (code << _U(8)) | (words[at + 3] >> _U(8))
+    at += 3
+    # Each place holds the lower byte of a word and the upper one of the next.
+    turned = ((words[:-1] & _U(0xFF)) << _U(8)) | (words[1:] >> _U(8))
+    ranks = np.zeros((steps, lanes), np.int32)
     last, second = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-    base = np.append(_BASE, 0)
     for step in range(steps):
         k = lanes if step < steps - 1 else full
         row = model.row[:k]
         model.predict(_context_one(last[:k]) + row, _context_two(last[:k], second[:k]) + row)
         unit = width[:k] >> _U(_TOTAL_BITS)
-        share = np.minimum(code[:k] // unit, _U((1 << _TOTAL_BITS) - 1)).astype(np.int32)
+        place = np.minimum(code[:k] // unit, _U((1 << _TOTAL_BITS) - 1)).astype(np.int32)
         taken = model.taken << _TABLE_BITS
-        hit_two = share < (model.share_two << _TABLE_BITS)
-        hit_one = (share < taken) & ~hit_two
-        inside = (share - taken) // model.rest
-        bucket = (model.floors[:, :k] <= inside).sum(axis=0, dtype=np.uint8).astype(np.int32)
-        start, share = model.bucket(bucket)
+        hit_two = place < (model.share_two << _TABLE_BITS)
+        hit_one = (place < taken) & ~hit_two
+        now = by_slot.take((place - taken) // model.rest, mode="clip")
+        start = table.starts.take(now)
+        share = table.shares.take(now)
         start *= model.rest
         start += taken
         share *= model.rest
         two, one = np.flatnonzero(hit_two), np.flatnonzero(hit_one)
-        start[two], share[two], bucket[two] = 0, model.share_two[two] << _TABLE_BITS, _BUCKETS
+        start[two], share[two], now[two] = 0, model.share_two[two] << _TABLE_BITS, model.two[two]
         start[one] = model.share_two[one] << _TABLE_BITS
-        share[one], bucket[one] = model.share_one[one] << _TABLE_BITS, _BUCKETS
+        share[one], now[one] = model.share_one[one] << _TABLE_BITS, model.one[one]
         code[:k] -= start.astype(_U) * unit
         np.multiply(share.astype(_U), unit, out=width[:k])
         put = np.flatnonzero(width[:k] < _LEAST_RANGE)
-        code[put] = (code[put] << _WORD) | ((words[at[put]] >> spare) & _U(0xFFFFFFFF))
-        at[put] += 1
-        width[put] <<= _WORD
-        bits, place = _BITS[bucket], bit_at[:k]
-        rest = bit_words.take(place >> 4) >> (place & 15)
-        place += bits
-        now = base[bucket] + (rest.astype(np.int32) & ((1 << bits) - 1))
-        now[two] = model.two[two]
-        now[one] = model.one[one]
-        ids[step, :k] = now
-        model.learn(now, hit_two, hit_one, bucket)
+        while len(put):
+            code[put] = (code[put] << _WORD) | turned[at[put]]
+            at[put] += 1
+            width[put] <<= _WORD
+            put = put[width[put] < _LEAST_RANGE]
+        ranks[step, :k] = now
+        model.learn(now, hit_two, hit_one)
         second[:k] = last[:k]
         last[:k] = now
-    return ids
+    return ranks
 
 
-def _columns(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _columns(ranks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Blocks of consecutive ids as columns; shorter ones end with a zero."""
-    table = np.zeros((len(lengths), lengths[0]), np.uint16)
+    table = np.zeros((len(lengths), lengths[0]), np.int32)
     full = int((lengths == lengths[0]).sum())
     cut = full * lengths[0]
-    table[:full] = ids[:cut].reshape(full, lengths[0])
+    table[:full] = ranks[:cut].reshape(full, lengths[0])
     if full < len(lengths):
-        table[full:, :-1] = ids[cut:].reshape(len(lengths) - full, lengths[0] - 1)
+        table[full:, :-1] = ranks[cut:].reshape(len(lengths) - full, lengths[0] - 1)
     return np.ascontiguousarray(table.T)
 
 
+def _checksum(ids: np.ndarray, words: np.ndarray) -> int:
+    return zlib.crc32(words, zlib.crc32(ids))
+
+
 def encode(ids: np.ndarray) -> bytes:
-    """A coded segment of ids up to MAX_ID."""
+    """A coded segment of ids."""
     if not len(ids):
-        return MAGIC + bytes(8)
-    if ids.max() > MAX_ID:
-        raise ValueError(f"ids are up to {MAX_ID}")
+        return MAGIC + bytes(16)
+    table, ranks = _Table.of(ids)
     lengths = _lengths(len(ids))
     ends = np.cumsum(lengths)
     plain = np.ascontiguousarray(ids, dtype="<u4")
-    sums = [zlib.crc32(plain[e - n : e]) for e, n in zip(ends, lengths, strict=True)]
-    index, codes, bit_codes = [], [], []
+    index, codes = [], []
     for first in range(0, len(lengths), LANES):
         part = lengths[first : first + LANES]
         begin = ends[first] - part[0]
-        table = _columns(ids[begin : begin + part.sum()], part)
-        words, size, bits, used = _encode_lanes(table, int((part == part[0]).sum()))
-        index.append(np.stack([size, used, sums[first : first + LANES]], axis=1))
+        columns = _columns(ranks[begin : begin + part.sum()], part)
+        words, size = _encode_lanes(columns, int((part == part[0]).sum()), table)
+        sums = [
+            _checksum(plain[e - n : e], words[c - m : c])
+            for e, n, c, m in zip(ends[first : first + LANES], part, np.cumsum(size), size, strict=True)
+        ]
+        index.append(np.stack([size, sums], axis=1))
         codes.append(words)
-        bit_codes.append(bits)
-    head = np.array([len(lengths), len(ids)], "<u4")
+    packed = table.packed()
+    head = np.array([len(lengths), len(ids), len(table.kinds), len(packed)], "<u4")
     index = np.concatenate(index).astype("<u4")
-    return b"".join(x.tobytes() for x in [np.frombuffer(MAGIC, "u1"), head, index, *codes, *bit_codes])
+    return b"".join([MAGIC, head.tobytes(), index.tobytes(), packed, *(c.tobytes() for c in codes)])
 
 
 def decode(segment: bytes) -> np.ndarray:
     """The ids of a coded segment; raises ValueError where a block is damaged."""
-    if segment[:4] != MAGIC:
+    if segment[:4] != MAGIC or len(segment) < 20:
         raise ValueError("not a coded segment")
-    blocks, n_ids = (int(x) for x in np.frombuffer(segment, "<u4", 2, 4))
+    blocks, n_ids, n_kinds, n_packed = (int(x) for x in np.frombuffer(segment, "<u4", 4, 4))
     if not n_ids:
         return np.zeros(0, np.uint32)
-    index = np.frombuffer(segment, "<u4", 3 * blocks, 12).reshape(blocks, 3).astype(np.int64)
-    size, used, sums = index.T
-    lengths = _lengths(n_ids)
-    code_end = 12 + 12 * blocks + 4 * size.sum()
-    if len(lengths) != blocks or code_end + 2 * used.sum() != len(segment):
+    code_at = 20 + 8 * blocks + n_packed
+    if code_at > len(segment) or len(_lengths(n_ids)) != blocks:
+        raise ValueError("a segment's index does not fit its code")
+    index = np.frombuffer(segment, "<u4", 2 * blocks, 20).reshape(blocks, 2).astype(np.int64)
+    size, sums = index.T
+    if code_at + 2 * size.sum() != len(segment):
         raise ValueError("a segment's index does not fit its code")
-    words = np.frombuffer(segment, "<u4", size.sum(), 12 + 12 * blocks)
-    bits = np.frombuffer(segment, "<u2", used.sum(), code_end)
+    table = _Table.unpacked(segment[20 + 8 * blocks : code_at], n_kinds)
+    by_slot = table.by_slot()
+    words = np.frombuffer(segment, "<u2", size.sum(), code_at)
+    lengths = _lengths(n_ids)
     ids = np.empty(n_ids, "<u4")
-    ends, word_ends, bit_ends = np.cumsum(lengths), np.cumsum(size), np.cumsum(used)
+    ends, word_ends = np.cumsum(lengths), np.cumsum(size)
     for first in range(0, blocks, LANES):
         lanes = slice(first, first + LANES)
-        part, n_words, n_bits = lengths[lanes], size[lanes], used[lanes]
-        begin, bit_begin = word_ends[first] - n_words[0], bit_ends[first] - n_bits[0]
+        part, n_words = lengths[lanes], size[lanes]
+        begin = word_ends[first] - n_words[0]
         full = int((part == part[0]).sum())
-        code = words[begin : begin + n_words.sum()], n_words
-        bit_code = bits[bit_begin : bit_begin + n_bits.sum()], n_bits
+        code = words[begin : begin + n_words.sum()]
         try:
-            found = _decode_lanes(*code, *bit_code, int(part[0]), full).T
+            ranks = _decode_lanes(code, n_words, int(part[0]), full, table, by_slot).T
+            found = table.kinds[ranks]
         except (IndexError, ZeroDivisionError) as damage:
             raise ValueError("a block's code is damaged") from damage
         at = ends[first] - part[0]
         cut = full * part[0]
         ids[at : at + cut] = found[:full].ravel()
         ids[at + cut : at + part.sum()] = found[full:, :-1].ravel()
-    for number, (end, length) in enumerate(zip(ends, lengths, strict=True)):
-        if zlib.crc32(ids[end - length : end]) != sums[number]:
+    edges = zip(ends, lengths, word_ends, size, strict=True)
+    for number, (end, length, code_end, n) in enumerate(edges):
+        if _checksum(ids[end - length : end], words[code_end - n : code_end]) != sums[number]:
             raise ValueError(f"block {number} does not match its checksum")
     return ids

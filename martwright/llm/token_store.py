@@ -6,8 +6,9 @@ and `n_tokens` are its documents in order, `code` their ids as the id coder writ
 segment can be read, checked and repeated without any other. Files are written by Spark's
 committer; a task that is repeated writes the same segments.
 
-Rows with a null doc_id come first; rows of one doc_id are ordered by text. A null or
-empty text is a document of the end id alone; an empty table is an empty store.
+Rows with a null doc_id come first; rows of one doc_id are ordered by a hash of their text,
+so they spread over tasks, also where all are alike. A null or empty text is a document of
+the end id alone; an empty table is an empty store; other columns are not read.
 """
 
 import numpy as np
@@ -80,9 +81,12 @@ def _encode_task(batches, path, end_id):
 def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2) -> None:
     """Write the store of `docs` (doc_id, text): each text's ids and the end id."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ordered = (
-        docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    place = F.xxhash64(F.coalesce("text", F.lit("")))
+    # The number only tells equal rows apart, whose order is all the same.
+    spread = docs.select("doc_id", "text").repartitionByRange(
+        "doc_id", place, F.monotonically_increasing_id()
     )
+    ordered = spread.sortWithinPartitions("doc_id", place, "text")
     schema = f"part int, begin long, doc_ids array<{kind}>, n_tokens array<bigint>, code binary"
 
     def task(batches):

@@ -133,8 +133,35 @@ def test_id_coder_repeats_cost_little_and_damage_is_found():
         damaged[at] ^= 0x55
         with pytest.raises(ValueError):
             id_coder.decode(bytes(damaged))
+    assert id_coder.decode(id_coder.encode(np.array([70_000, 2**32 - 1], np.uint32))).tolist() == [70_000, 2**32 - 1]
     with pytest.raises(ValueError):
-        id_coder.encode(np.array([70_000], np.uint32))
+        id_coder.encode(np.arange(id_coder.MAX_KINDS + 1, dtype=np.uint32))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not present")
+def test_coded_ids_take_less_than_their_order_0_entropy():
+    """Header, index and checksums included, over all ids of the documents."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].combine_chunks()
+    ids, counts = word_bpe.token_ids(WORD_BPE, texts)
+    ids = np.insert(ids, np.cumsum(counts), 2)
+    share = np.bincount(ids) / len(ids)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum()
+    assert 8 * len(id_coder.encode(ids)) / len(ids) < entropy
+
+
+def test_a_store_splits_rows_of_one_id(spark, conf):
+    """A third of all rows alike: several tasks write them, and they come back in order."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = [(7, "the same text")] * 3000 + [(i, f"text {i}") for i in range(100, 6100)]
+    folder = new_folder(spark, "ids")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    token_store.write(docs, WORD_BPE, folder)
+    found = token_store.read(spark, folder).orderBy("start").collect()
+    assert [r.doc_id for r in found] == sorted(d for d, _ in rows)
+    with_seven = spark.read.parquet(folder).filter(F.array_contains("doc_ids", F.lit(7).cast("long")))
+    assert with_seven.select("part").distinct().count() > 1
 
 
 def test_token_store_round_trip(spark, docs, none, texts, monkeypatch):
@@ -143,7 +170,8 @@ def test_token_store_round_trip(spark, docs, none, texts, monkeypatch):
     token_store.write(docs, WORD_BPE, folder, end_id=2)
     found = token_store.read(spark, folder).toPandas().sort_values("start")
     library = word_bpe.load(WORD_BPE).library
-    ordered = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    place = lambda t: np.uint64(xxhash.xxh64_intdigest((t or "").encode(), 42)).astype(np.int64)
+    ordered = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, place(r[1]), r[1] is not None))
     assert len(found) == len(ordered)
     start = 0
     for (doc_id, text), row in zip(ordered, found.itertuples(), strict=True):
