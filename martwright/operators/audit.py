@@ -89,8 +89,8 @@ def silver_invariants(
 
     Where versions and sales are given that have come since the last check, `customers`
     hold the rules but for these versions' customers, and `sales`, which are those checked
-    before, are only searched for the new ids. A small batch is broadcast there, so the
-    ledger is scanned and not shuffled.
+    before, are only searched for the new ids and need hold no other column. A small batch
+    is broadcast there, so they are scanned and not shuffled.
     """
     if new_versions is not None:
         customers = matching(customers, new_versions, CUSTOMER_KEY)

@@ -280,10 +280,28 @@ def initialize_ledger(historical: DataFrame) -> DataFrame:
     return dense_key(historical, id_order(SALES_KEY), SALES_SK)
 
 
+# Stored ids are dealt into so many parts by their hash.
+KEY_PARTS = 64
+KEY_PART = "key_part"
+
+
+def key_part() -> Column:
+    """Part of the stored ids that an id belongs to."""
+    return F.pmod(F.xxhash64(SALES_KEY), F.lit(KEY_PARTS)).cast("int")
+
+
+def touched_keys(keys: DataFrame, source: DataFrame) -> DataFrame:
+    """The stored ids (with their `key_part`) among which those of the source can be; other
+    parts' files stay unread. The parts, KEY_PARTS at most, go through the driver."""
+    parts = [row[0] for row in source.select(key_part()).distinct().collect()]
+    return keys.filter(F.col(KEY_PART).isin(parts)).select(SALES_KEY)
+
+
 def ledger_additions(
     target: DataFrame, source: DataFrame, greatest: int | None = None
 ) -> DataFrame:
-    """Transactions the ledger lacks, keyed on from its greatest key."""
+    """Transactions the ledger lacks, keyed on from its greatest key; with that given, the
+    target need only hold the ids."""
     return dense_key(
         new_keys(source.drop(SALES_SK), target, SALES_KEY),
         id_order(SALES_KEY),

@@ -55,6 +55,10 @@ class Lakehouse:
         """Sales with the month they are stored by, of all batches or some."""
         return self.silver("sales").history(after=after, until=until)
 
+    def sales_keys(self, until: int | None = None) -> DataFrame:
+        """Ids of the ledger with the part they are stored in."""
+        return self.silver("sales").history("keys", until=until)
+
     # --- the published star ---------------------------------------------------------
 
     def publication(self) -> dict | None:

@@ -116,12 +116,17 @@ class SnapshotTable:
         return Written(number, part, rows, seen["count"], seen["digest"], seen["greatest"])
 
     def publish(
-        self, *written: Written, batch_id: str | None = None, digest: str | None = None
+        self,
+        *written: Written,
+        index: Iterable[Written] = (),
+        batch_id: str | None = None,
+        digest: str | None = None,
     ) -> int:
-        """Make the parts of the coming snapshot visible; without any, those in its folder."""
+        """Make the parts of the coming snapshot visible; without any, those in its folder.
+        Parts in `index` repeat rows of others, so they do not count."""
         number = self.published() + 1
         if written:
-            schemas = {w.part: w.rows.schema for w in written}
+            schemas = {w.part: w.rows.schema for w in (*written, *index)}
         else:
             schemas = {"rows": self.spark.read.parquet(self.folder(number)).schema}
         greatest: dict[str, int] = {}

@@ -219,6 +219,24 @@ def test_new_sales_are_checked_without_shuffling_the_ledger(spark, lake):
     assert {r.rule: r.violations for r in twice.collect()}["transaction_id_unique"] == 20
 
 
+def test_a_batch_reads_the_ids_of_the_parts_it_touches(spark, lake):
+    lake, first, _ = lake
+    small = lake.ledger(after=first["silver"]["sales"]).filter("sales_sk in (201, 202)")
+    known = merge.touched_keys(lake.sales_keys(until=1), small)
+    parts = {r[0] for r in small.select(merge.key_part()).collect()}
+    read = {int(f.split("key_part=")[1].split("/")[0]) for f in _read_files(known)}
+    assert read <= parts and len(parts) <= 2
+    assert all("/keys/snapshot=1/" in f for f in _read_files(known))
+    ids = lambda df: {r.transaction_id for r in df.select("transaction_id").collect()}
+    assert ids(lake.sales_keys()) == ids(lake.sales())
+    again = lake.sales().filter("sales_sk < 50").drop("sales_sk")
+    assert merge.ledger_additions(merge.touched_keys(lake.sales_keys(), again), again, 220).isEmpty()
+
+
+def _read_files(df):
+    return {r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
 def test_registered_months_follow_a_publication(spark, lake):
     lake, _, _ = lake
     medallion.register_star(lake, "batches_test", location=f"{lake.root}/catalog")
