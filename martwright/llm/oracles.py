@@ -9,14 +9,30 @@ def _reading(text: str) -> str:
     """Numbers of a text's sentences, each between its own spaces."""
     upper, lower = license_rules.UPPER, license_rules.LOWER
     plain = f"trim(regexp_replace(translate(s, '{upper}', '{lower}'), '[^a-z0-9]+', ' ', 'g'))"
-    cut = f"string_split(regexp_replace({text}, '([.;:!?]){_SPACE}+', '\\1' || chr(10), 'g'), chr(10))"
+    whole = f"regexp_replace({text}, '{license_rules.FIRM}', '\\1\\2', 'g')"
+    cut = f"string_split(regexp_replace({whole}, '([.;:!?]){_SPACE}+', '\\1' || chr(10), 'g'), chr(10))"
     said = f"list_filter(list_transform({cut}, lambda s: {plain}), lambda s: regexp_matches(s, '[a-z]'))"
-    return f"list_transform({said}, lambda s: coalesce(known.numbers[s], 0))"
+    numbers, read, clause = license_rules.numbered(), "s", "0"
+    for pattern, key in license_rules.PATTERNS:
+        read = f"regexp_replace({read}, '{pattern}', '{license_rules._one(key)}')"
+    for words, key in license_rules.CLAUSES:
+        clause = f"case when contains(s, '{words}') then {numbers[license_rules._one(key)]} else {clause} end"
+    read_as = f"list_transform({said}, lambda s: {read})"
+    return f"list_transform({read_as}, lambda s: coalesce(known.numbers[s], {clause}))"
+
+
+def _split_tags(text: str) -> str:
+    split = text
+    for _ in range(license_rules.MAX_IDS - 1):
+        split = f"regexp_replace({split}, '{license_rules.SPDX_WITH}', '\\1', 'g')"
+        split = f"regexp_replace({split}, '{license_rules.SPDX_OPERATOR}', '\\1 \\2' || chr(10) || '\\1 ', 'g')"
+    split = f"regexp_replace({split}, '{license_rules.SPDX_WITH}', '\\1', 'g')"
+    return f"case when contains({text}, '{license_rules.TAG}') then {split} else {text} end"
 
 
 # Line ends as spaces, but for lines without a letter or digit.
 _UNWRAPPED = (
-    r"translate(regexp_replace(coalesce(text, ''), '\n[^\p{L}\p{N}]*\n', chr(1), 'g'),"
+    r"translate(regexp_replace(text, '\n[^\p{L}\p{N}]*\n', chr(1), 'g'),"
     " chr(10) || chr(1), ' ' || chr(10))"
 )
 
@@ -36,9 +52,8 @@ def _op1() -> str:
     return f"""
 with known as (select map([{keys}], [{values}]) as numbers),
 readings as (
-  select doc_id, {_reading("coalesce(text, '')")} as by_line,
-         {_reading(_UNWRAPPED)} as unwrapped
-  from documents, known
+  select doc_id, {_reading("text")} as by_line, {_reading(_UNWRAPPED)} as unwrapped
+  from (select doc_id, {_split_tags("coalesce(text, '')")} as text from documents), known
 ),
 lines as (
   select doc_id, by_line, unnest([by_line, unwrapped]) as numbers from readings

@@ -67,6 +67,49 @@ def test_wrapped_headers_of_every_rule(spark):
 
 
 
+def _bsd(third):
+    said = [license_rules.SENTENCES[k] for k in ("bsd-grant", "bsd-source", "bsd-binary")]
+    return "\n".join([said[0], f"1. {said[1]}", f"2. {said[2]}", *([f"3. {third}"] if third else [])])
+
+
+LICENCE_TEXTS = [
+    (_bsd("Neither the name of Example GmbH & Co. nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."), ["BSD-3-Clause"]),
+    (_bsd("The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission."), ["BSD-3-Clause"]),
+    (_bsd("You shall not use our marks to endorse or promote products, ever."), ["BSD-variant"]),
+    (_bsd("All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by X."), ["BSD-4-Clause"]),
+    (_bsd(None), ["BSD-2-Clause"]),
+    ("/* SPDX-License-Identifier: MIT OR Apache-2.0 */", ["Apache-2.0", "MIT"]),
+    ("# SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0-only"]),
+    ("// SPDX-License-Identifier: BSD-3-Clause\r\nint x;", ["BSD-3-Clause"]),
+    ("SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) AND (MIT OR ISC)", ["GPL-2.0-or-later", "ISC", "MIT"]),
+    ("SPDX-License-Identifier: LicenseRef-Own AND Zlib", ["Zlib"]),
+    ("SPDX-License-Identifier: MIT or else\nwe use Apache-2.0 OR nothing", []),
+    (" ".join(license_rules.SENTENCES[k] for k in ("mit-grant", "mit-notice", "mit-as-is")) + " IN NO EVENT SHALL EXAMPLE INC. OR ITS HEIRS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.", ["MIT"]),
+    (None, []),
+    (" ".join(["a sentence."] * 30_000) + "\nSPDX-License-Identifier: MIT", ["MIT"]),
+]
+
+
+def test_names_clauses_and_expressions_in_licences_as_in_sql(spark, tmp_path):
+    """Also rows with equal and null ids; the SQL says the same."""
+    import duckdb
+
+    from martwright.llm.oracles import oracle_sql
+
+    rows = [(i, text) for i, (text, _) in enumerate(LICENCE_TEXTS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    mine = QUERIES["op1_license_rules"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.licences for r in mine} == {i: ",".join(n) for i, (_, n) in enumerate(LICENCE_TEXTS)}
+    connection = duckdb.connect()
+    connection.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    theirs = connection.execute(oracle_sql()["op1_license_rules"]).fetchall()
+    assert sorted(map(tuple, mine)) == sorted(theirs)
+    twice = docs.union(spark.createDataFrame([(0, "SPDX-License-Identifier: MIT"), (None, rows[5][1]), (None, "x")], docs.schema))
+    found = sorted((str(r.doc_id), list(r.licences)) for r in license_rules.scan(twice).filter("doc_id is null or doc_id = 0").collect())
+    assert found == [("0", ["BSD-3-Clause"]), ("0", ["MIT"]), ("None", []), ("None", ["Apache-2.0", "MIT"])]
+
+
 def test_forest_finds_junk_by_lines_and_word_length(spark):
     """Junk without symbols or marks: a line said again and again, encoded words."""
     rng = random.Random(4)
