@@ -23,6 +23,7 @@ from martwright.llm import (
     substring_debruijn,
 )
 from martwright.llm.common import stored
+from martwright.llm.queries import in_folder
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -31,22 +32,26 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+@in_folder
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score of 0.5 at least."""
     return quality_nbsvm.keep_good(docs, quality_nbsvm.fit(docs, _labels(spark, sf_dir)))
 
 
+@in_folder
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail the base rules nor stand out in the forest."""
     stats = isolation_rules.measured(docs)
     return isolation_rules.keep_usual(docs, isolation_rules.fit(stats, _labels(spark, sf_dir)))
 
 
+@in_folder
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group."""
     return simhash_golay.keep_first(docs, shingle=3, max_bits=3)
 
 
+@in_folder
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 35 words or more that lie elsewhere too, each copy of
     a passage being taken out; other documents keep their text as it is. A document that was
@@ -62,6 +67,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
+@in_folder
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of up to 2048 ids."""
     return packing.pack(docs, TOKENIZER, end_id=1)
@@ -79,6 +85,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@in_folder
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:

@@ -4,6 +4,9 @@ from martwright.functions.parsing import to_double, to_flag, to_moment, to_whole
 from martwright.operators import cleanse, dedup
 
 
+# The input frames of the next three tests.
+
+
 def test_customer_rows_without_key_or_copies(spark):
     df = spark.createDataFrame([(1, "A"), (1, "A"), (None, "B")], "customer_id bigint, gender string")
     rows = cleanse.clean_customer(df).collect()
