@@ -1,7 +1,6 @@
 """Helpers shared by the operators: stored steps, text buffers, words."""
 
 import ctypes
-import tempfile
 import uuid
 from functools import lru_cache
 from itertools import repeat
@@ -20,15 +19,10 @@ SLICE_BYTES = 2_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a local session without it gets its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and spark.sparkContext.getCheckpointDir():
-        folder = spark.sparkContext.getCheckpointDir()
+    """The folder of spark.checkpoint.dir, or else the context's checkpoint folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.sparkContext.setCheckpointDir(folder)
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return folder
 
 

@@ -12,8 +12,9 @@ The work is one pass without a shuffle: a task packs the documents it reads, in
 bounded size, and numbers its windows by its partition, which a repeated task does alike.
 
 Defined cases: a null or empty text is a document of the end id alone; rows with the
-same id, or a null id, are packed as documents of their own; an empty table gives no
-rows; other columns are not read.
+same id, or a null id, are packed as documents of their own; a very long text fills windows of
+the longest size and is cut like any other, its ids being held by one task while it is
+packed; an empty table gives no rows; other columns are not read.
 """
 
 from collections import defaultdict

@@ -1,5 +1,7 @@
 """One query for each operator, over whole tables and with production parameters."""
 
+import functools
+import tempfile
 from collections.abc import Callable
 
 import public_tokenizers
@@ -28,9 +30,34 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+# Removed when Python exits.
+_folders: list[tempfile.TemporaryDirectory] = []
+
+
+def work_locally(spark: SparkSession) -> None:
+    """A temporary checkpoint folder for a local session that names none."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and context.master.startswith("local"):
+        folder = tempfile.TemporaryDirectory(prefix="llm-")
+        _folders.append(folder)
+        context.setCheckpointDir(folder.name)
+
+
+def in_folder(run):
+    """Look after the folder before a function whose first argument is the session."""
+
+    @functools.wraps(run)
+    def prepared(spark: SparkSession, *arguments) -> DataFrame:
+        work_locally(spark)
+        return run(spark, *arguments)
+
+    return prepared
+
+
 def query(run):
-    QUERIES[run.__name__] = run
-    return run
+    QUERIES[run.__name__] = in_folder(run)
+    return QUERIES[run.__name__]
 
 
 def table(spark, sf_dir, name) -> DataFrame:

@@ -17,7 +17,8 @@ once. Characters without a piece stand for their UTF-8 bytes. Arrays hold all un
 slice side by side; a worker remembers the ids of the first CACHED units it meets.
 
 Defined cases: a null text is an empty one, which is its begin and end ids; repeated rows
-and null doc_ids are returned as given; an empty table gives no rows.
+and null doc_ids are returned as given; a very long text is encoded whole, as a slice of its
+own, in memory that grows with it; an empty table gives no rows; other columns are not read.
 """
 
 from functools import lru_cache

@@ -1,0 +1,10 @@
+import pytest
+
+pytest.importorskip("public_tokenizers")
+
+from martwright.llm.queries import work_locally  # noqa: E402
+
+
+@pytest.fixture(autouse=True, scope="session")
+def checkpoint_folder(spark):
+    work_locally(spark)
