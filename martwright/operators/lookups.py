@@ -1,9 +1,10 @@
 """Joins between ledger, dimensions and increments.
 
-No side is hinted for broadcast: Catalyst broadcasts a side whose measured size is
-under `spark.sql.autoBroadcastJoinThreshold` and shuffles otherwise. In a shuffled
-lookup the dimension has one row per key, and adaptive execution splits the fact rows of
-a hot or NULL key over several tasks.
+A dimension is broadcast where its size is known from its write and within BROADCAST_BYTES,
+so that the ledger is not shuffled for it. Otherwise no side is hinted: Catalyst broadcasts a
+side whose measured size is under `spark.sql.autoBroadcastJoinThreshold` and shuffles beyond.
+In a shuffled lookup the dimension has one row per key, and adaptive execution splits the
+fact rows of a hot or NULL key over several tasks.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,15 @@ from pyspark.sql import functions as F
 
 from martwright.contracts import UNKNOWN_SK
 
+#: Keys and surrogate keys of a dimension that may go to every task.
+BROADCAST_BYTES = 64 << 20
+
+
+def fits_broadcast(rows: int, key_bytes: int) -> bool:
+    """Whether so many rows, with keys of at most so many bytes, may go to every task; a row
+    takes some 64 bytes beside its keys."""
+    return rows * (key_bytes + 64) <= BROADCAST_BYTES
+
 
 def matching(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target rows whose key occurs in the source.
@@ -37,10 +47,18 @@ def or_unknown(surrogate: Column) -> Column:
 
 
 def lookup(
-    fact: DataFrame, dimension: DataFrame, on: list[str], surrogate: str, unknown: bool = True
+    fact: DataFrame,
+    dimension: DataFrame,
+    on: list[str],
+    surrogate: str,
+    unknown: bool = True,
+    small: bool = False,
 ) -> DataFrame:
-    """Append the dimension's surrogate key; 0 where no member matches, or NULL if not `unknown`."""
+    """Append the dimension's surrogate key; 0 where no member matches, or NULL if not `unknown`.
+    `small` says that the dimension fits_broadcast."""
     members = dimension.select(*on, surrogate)
+    if small:
+        members = F.broadcast(members)
     found = fact.drop(surrogate).join(members, on, "left")
     return found.withColumn(surrogate, or_unknown(F.col(surrogate))) if unknown else found
 

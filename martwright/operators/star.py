@@ -140,9 +140,11 @@ def fact_sales(
     promotions: DataFrame,
     unknown: bool = True,
     carry: tuple[str, ...] = (),
+    small: frozenset[str] = frozenset(),
 ) -> DataFrame:
     """One row per ledger row with the keys of its dimension members; without `unknown`,
-    keys that find no member stay NULL. Columns in `carry` come along.
+    keys that find no member stay NULL. Columns in `carry` come along; the dimensions named
+    in `small` fit_broadcast, so the ledger is shuffled once at most, by customer.
 
     A promotion is looked up by id and type, as it is keyed, so an id with two types
     does not multiply sales.
@@ -155,7 +157,7 @@ def fact_sales(
         }
     )
     found = lookup_as_of(dated, customers, "customer_id", day, "customer_sk", unknown)
-    found = lookup(found, products, ["product_id"], "product_sk", unknown)
+    found = lookup(found, products, ["product_id"], "product_sk", unknown, "dim_product" in small)
     pair = ["promotion_id", "promotion_type"]
-    found = lookup(found, promotions, pair, "promotion_sk", unknown)
+    found = lookup(found, promotions, pair, "promotion_sk", unknown, "dim_promotion" in small)
     return found.select(*FACT_COLUMNS, *carry)

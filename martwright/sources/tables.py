@@ -57,10 +57,13 @@ def write_observed(
     digest_of: Iterable[str] | None = None,
     greatest: Iterable[str] = (),
     partition_by: Iterable[str] = (),
+    widest: Iterable[str] = (),
 ) -> dict:
-    """Write rows, replacing what the folder holds; their count, digest and greatest keys."""
+    """Write rows, replacing what the folder holds; their count, digest, greatest keys and the
+    greatest number of bytes in each of some columns."""
     seen = Observation()
     marks = [F.count(F.lit(1)).alias("count"), *(F.max(c).alias(c) for c in greatest)]
+    marks += [F.max(F.octet_length(F.col(c).cast("string"))).alias(f"_{c}") for c in widest]
     if digest_of is not None:
         marks.append(content_digest(digest_of).cast("string").alias("digest"))
     writer = df.observe(seen, *marks).write.mode("overwrite")
@@ -69,7 +72,7 @@ def write_observed(
     keys = {c: found[c] for c in greatest if found[c] is not None}
     # The digest of no rows is 0.
     return {
-        "count": found["count"], "greatest": keys,
+        "count": found["count"], "greatest": keys, "widest": {c: found[f"_{c}"] or 0 for c in widest},
         "digest": None if digest_of is None else found["digest"] or "0",
     }
 

@@ -76,7 +76,7 @@ def test_digest_and_greatest_key_of_a_write(spark):
     assert write_observed(turned, new_folder(spark), digest_of=["x", "y"])["digest"] == seen["digest"]
     assert write_observed(other, new_folder(spark), digest_of=["x", "y"])["digest"] != seen["digest"]
     assert write_observed(one.limit(0), new_folder(spark), digest_of=["x"], greatest=["k"]) == {
-        "count": 0, "greatest": {}, "digest": "0",
+        "count": 0, "greatest": {}, "digest": "0", "widest": {},
     }
 
 
@@ -233,6 +233,23 @@ def test_a_batch_reads_the_ids_of_the_parts_it_touches(spark, lake):
     assert merge.ledger_additions(merge.touched_keys(lake.sales_keys(), again), again, 220).isEmpty()
 
 
+def test_a_build_shuffles_the_ledger_once_at_most(spark, lake, conf):
+    """With broadcasts off but for dimensions whose size their write has shown."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    lake, _, _ = lake
+    dims = [lake.star()[n] for n in ("dim_customer", "dim_product", "dim_promotion")]
+    shuffled = star.fact_sales(lake.sales(), *dims)
+    once = star.fact_sales(lake.sales(), *dims, small=frozenset({"dim_product", "dim_promotion"}))
+    # One side of the customer lookup is the ledger, the other the customers.
+    assert plan_of(once).count("Exchange hashpartitioning") == 2
+    assert plan_of(shuffled).count("Exchange hashpartitioning") == 6
+    assert sorted(map(str, once.collect())) == sorted(map(str, shuffled.collect()))
+    assert lookups.fits_broadcast(100_000, 20) and not lookups.fits_broadcast(10_000_000, 20)
+    seen = write_observed(lake.products(), new_folder(spark), widest=["product_id"])
+    assert (seen["count"], seen["widest"]) == (3, {"product_id": 2})
+
+
 def _read_files(df):
     return {r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
 
