@@ -146,10 +146,7 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
     first `full`."""
     steps, lanes = ranks.shape
     model = _Model(lanes)
-    before = np.zeros((steps + 2, lanes), np.int32)
-    before[2:] = ranks
-    at_one = _context_one(before[1:-1]) + model.row
-    at_two = _context_two(before[1:-1], before[:-2]) + model.row
+    last = second = np.zeros(lanes, np.int32)
     low, width = np.zeros(lanes, _U), np.full(lanes, 1 << _LOW_BITS, _U)
     # A step takes 28 bits at most, which is two words.
     room = 2 * steps + 6
@@ -157,8 +154,8 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
     size = np.arange(lanes, dtype=np.int64) * room
     for step in range(steps):
         k = lanes if step < steps - 1 else full
-        now = ranks[step, :k]
-        model.predict(at_one[step, :k], at_two[step, :k])
+        now, row = ranks[step, :k], model.row[:k]
+        model.predict(_context_one(last[:k]) + row, _context_two(last[:k], second[:k]) + row)
         hit_two = (now == model.two) & (model.share_two > 0)
         hit_one = (now == model.one) & model.has_one & (model.share_one > 0)
         start = table.starts.take(now)
@@ -185,6 +182,7 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
             width[put] <<= _WORD
             put = put[width[put] < _LEAST_RANGE]
         model.learn(now, hit_two, hit_one)
+        last, second = now, last
     # Two more words name a place inside the last range, whatever follows them.
     low += _U((1 << (_LOW_BITS - 2 * _WORD_BITS)) - 1)
     over = np.flatnonzero(low > _LOW_MASK)

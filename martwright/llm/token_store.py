@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.llm import id_coder
-from martwright.llm.common import binary_array, one_array, text_slices
+from martwright.llm.common import binary_array, one_array, release_memory, text_slices
 from martwright.llm.word_bpe import token_ids
 
 SEGMENT_IDS = 2_000_000
-_SLICE = 6_000_000
+_SLICE = 3_000_000
 
 
 def _encode_task(batches, path, end_id):
@@ -33,7 +33,10 @@ def _encode_task(batches, path, end_id):
 
     def segment():
         nonlocal written, held
-        code = id_coder.encode(np.concatenate(parts))
+        ids = np.concatenate(parts)
+        parts.clear()
+        release_memory()
+        code = id_coder.encode(ids)
         batch = pa.RecordBatch.from_arrays(
             [
                 pa.array([part], pa.int32()),
@@ -47,7 +50,6 @@ def _encode_task(batches, path, end_id):
         written, held = written + held, 0
         documents.clear()
         counts.clear()
-        parts.clear()
         return batch
 
     for batch in batches:
@@ -100,6 +102,7 @@ def _decode_task(batches):
         for row in range(len(batch)):
             start, counts = batch.column(0)[row].as_py(), batch.column(2)[row].values.to_numpy()
             ids = id_coder.decode(batch.column(3)[row].as_py())
+            release_memory()
             ends = np.cumsum(counts)
             if ends[-1] != len(ids):
                 raise ValueError("a segment's documents do not fit its ids")

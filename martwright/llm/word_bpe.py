@@ -19,7 +19,7 @@ import pyarrow as pa
 from martwright.llm.common import DistinctIds, Words, gather
 
 MARK = "\x7f"
-CACHED = 200_000
+CACHED = 400_000
 _LINE_WORDS = 2000
 # Letters that lower-casing and composition leave letters; marks the tokenizer keeps together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?|#$%&*()\-]*)").fullmatch
