@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import Words, one_array
+from martwright.llm.common import Words, one_array, release_memory
 
 ORDER = 3
 ALPHA = 0.4
@@ -61,7 +61,7 @@ class _Grams:
 
     def __init__(self, texts: pa.Array, order: int):
         words = Words(texts)
-        self.n_texts, self.text, self.counts = len(texts), words.text, words.counts
+        self.n_texts, self.text, self.counts = len(texts), words.text.astype(np.int32), words.counts
         self.place = np.arange(len(words)) - words.first[words.text]
         hashes = np.zeros(0, _U)
         if len(words):
@@ -137,7 +137,8 @@ def _requests_of(table: pa.Table, order: int, buckets: int) -> pa.Table:
     # The empty n-gram's count is the number of words.
     rows = [(0, chunk, 0, _sorted_packed(np.zeros(1, _U)), _packed(np.array([len(grams)])))]
     for n in range(1, order + 1):
-        rows += _requests(chunk, n, *np.unique(grams.of[n][grams.whole(n)], return_counts=True), buckets)
+        rows += _requests(chunk, n, *np.unique(grams.of.pop(n)[grams.whole(n)], return_counts=True), buckets)
+    release_memory()
     return _table(rows, _REQUEST)
 
 
@@ -162,6 +163,7 @@ def _answers(table: pa.Table) -> pa.Table:
         ends = np.cumsum([len(a) for a in asked])
         for chunk, end, size in zip(part["chunk"].to_pylist(), ends, map(len, asked), strict=True):
             rows.append((chunk, bucket, n, _packed(total[end - size : end])))
+    release_memory()
     return _table(rows, _ANSWER)
 
 
@@ -182,10 +184,11 @@ class _Counts:
         count = np.zeros(len(self.grams), np.int64)
         whole = np.flatnonzero(self.grams.whole(n))
         if len(whole):
-            _, back = np.unique(self.grams.of[n][whole], return_inverse=True)
-            own = self.grams.text[whole] * (back.max() + 1) + back
+            # Each order is asked for once.
+            _, back = np.unique(self.grams.of.pop(n)[whole], return_inverse=True)
+            own = self.grams.text[whole].astype(np.int64) * (back.max() + 1) + back
             _, place, times = np.unique(own, return_inverse=True, return_counts=True)
-            count[whole] = np.concatenate(self.answers[n])[back] - times[place]
+            count[whole] = np.concatenate(self.answers.pop(n))[back] - times[place]
         return count
 
 
@@ -207,6 +210,7 @@ def _scores(texts: pa.Table, answers: pa.Table, order: int, alpha: float) -> pa.
         score = np.log(ratio)
     sums = [np.bincount(grams.text, flags, grams.n_texts).astype(np.int64) for flags in (full, unseen)]
     total = np.bincount(grams.text, score, grams.n_texts)
+    release_memory()
     return pa.Table.from_arrays(
         [one_array(texts["doc_id"]), *map(pa.array, (grams.counts, *sums, total))],
         ["doc_id", "n_words", "n_full", "n_unseen", "log_score"],
