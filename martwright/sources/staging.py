@@ -1,6 +1,9 @@
 """Intermediate results written once and read many times."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +13,31 @@ from martwright.sources.tables import write_observed
 SETTING = "spark.martwright.staging.dir"
 
 
+# Folders staged since the innermost `released` began.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Empty the folders staged inside the block when it ends, also when it fails. What the
+    block leaves must not read them any more, as rows written to a table do not."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for folder in made:
+            spark.range(0).write.mode("overwrite").parquet(folder)
+
+
+def _staged_folder(spark: SparkSession) -> str:
+    folder, made = new_folder(spark), _made.get()
+    if made is not None:
+        made.append(folder)
+    return folder
+
+
 def staging_root(spark: SparkSession) -> str:
     """Folder for intermediate tables that driver and executors share."""
     folder = spark.conf.get(SETTING, None) or spark.conf.get("spark.checkpoint.dir", None)
@@ -28,13 +56,13 @@ def stage(df: DataFrame) -> DataFrame:
     Cuts the lineage at durable storage, so a lost executor costs a re-read, and later
     consumers read only the columns they need.
     """
-    path = new_folder(df.sparkSession)
+    path = _staged_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """The same with the number of rows, counted by the write."""
-    path = new_folder(df.sparkSession)
+    path = _staged_folder(df.sparkSession)
     count = write_observed(df, path)["count"]
     return df.sparkSession.read.schema(df.schema).parquet(path), count

@@ -5,7 +5,7 @@ from checks.queries import write_audit
 from martwright.contracts import ENTITIES, SOURCE_COLUMNS
 from martwright.operators import audit
 from martwright.plans import medallion
-from martwright.sources import files
+from martwright.sources import files, staging
 from martwright.sources.staging import new_folder
 
 
@@ -40,8 +40,10 @@ def sales(spark, first, count):
     )
 
 
-def test_the_flow_and_its_rerun(spark):
+def test_the_flow_and_its_rerun(spark, conf):
     root, lake = new_folder(spark), medallion.Lakehouse(spark, new_folder(spark))
+    staged = f"{new_folder(spark)}/staged"
+    conf(staging.SETTING, staged)
     deliver(
         spark, root, "historical",
         {"customer": rows(spark, "customer", 3), "product": rows(spark, "product", 2), "sales": sales(spark, 1, 4)},
@@ -59,6 +61,10 @@ def test_the_flow_and_its_rerun(spark):
         return lake.customers().count(), lake.products().count(), lake.sales().count()
 
     assert sizes() == (7, 3, 7)
+    # Rows staged on the way are gone, the tables stand for themselves.
+    folders = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(staged)
+    folders = {r.path.rsplit("/", 1)[0] for r in folders.select("path").collect()}
+    assert len(folders) > 5 and all(spark.read.parquet(f).count() == 0 for f in folders)
     tables = lake.star()
     assert {k: v.count() for k, v in tables.items()} == {
         "dim_customer": 8, "dim_product": 4, "dim_promotion": 2, "dim_date": 2, "fact_sales": 7,
