@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm import id_coder
 from martwright.llm.common import binary_array, one_array, release_memory, text_slices
-from martwright.llm.word_bpe import token_ids
+from martwright.llm.word_bpe import forget, token_ids
 
 SEGMENT_IDS = 2_000_000
 _SLICE = 3_000_000
@@ -98,6 +98,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2) ->
 
 
 def _decode_task(batches):
+    # The worker may have written the store.
+    forget()
     for batch in batches:
         for row in range(len(batch)):
             start, counts = batch.column(0)[row].as_py(), batch.column(2)[row].values.to_numpy()
@@ -120,6 +122,7 @@ def _decode_task(batches):
                     ],
                     ["doc_id", "start", "ids"],
                 )
+        release_memory()
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,10 +16,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from martwright.llm.common import DistinctIds, Words, gather
+from martwright.llm.common import DistinctIds, Words, gather, release_memory
 
 MARK = "\x7f"
-CACHED = 400_000
+CACHED = 300_000
 _LINE_WORDS = 2000
 # Letters that lower-casing and composition leave letters; marks the tokenizer keeps together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?|#$%&*()\-]*)").fullmatch
@@ -131,6 +131,12 @@ def load(path: str) -> _Tokenizer:
     return _Tokenizer(path)
 
 
+def forget() -> None:
+    """Drop what a worker holds of tokenizers, before work that needs none."""
+    load.cache_clear()
+    release_memory()
+
+
 def token_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, one after the other, and the number of ids of each text."""
     units = _Units(texts)
