@@ -261,3 +261,20 @@ def test_registered_months_follow_a_publication(spark, lake):
     counts = spark.table("batches_test.fact_sales").groupBy("sale_month").count().collect()
     assert sum(r["count"] for r in counts) == 220 and len(counts) == 10
     spark.sql("DROP SCHEMA batches_test CASCADE")
+
+
+def test_an_increment_without_sales_or_changes_keeps_all_months(spark):
+    lake = medallion.Lakehouse(spark, new_folder(spark))
+    for entity, refine in (("customer", medallion.refine_customers), ("product", medallion.refine_products)):
+        refine(lake, batch(spark, entity, "", "historical"), "historical")
+    sold = rows(spark, "sales", 3, transaction_date=F.lit("2024-03-01"))
+    medallion.refine_sales(lake, medallion.CLEANERS["sales"](medallion.stamp_provenance(sold, "sales", "historical", "")))
+    medallion.build_star(lake)
+    medallion.refine_products(lake, batch(spark, "product", "b", unit_price=F.lit("9")), "incremental")
+    tables = medallion.build_star(lake)
+    record = lake.publication()
+    assert (record["number"], record["months"]) == (2, {"202403": 1})
+    assert tables["fact_sales"].count() == 3 and {r.unit_price for r in tables["dim_product"].collect()} == {0.0, 9.0}
+    # Nothing new: the same publication stands.
+    medallion.build_star(lake)
+    assert lake.publication()["number"] == 2
