@@ -10,6 +10,7 @@ import pytest
 
 from martwright.llm import conversation_trie
 from martwright.llm.queries import QUERIES
+from shared import checkpoint_folder  # noqa: E402, F401
 
 SCHEMA = "conv_id long, turn int, role string, text string, depth string, words int"
 

@@ -10,6 +10,7 @@ import pytest
 
 from martwright.llm import lemp_search
 from martwright.llm.queries import QUERIES
+from shared import checkpoint_folder  # noqa: E402, F401
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({c: c.lower() for c in map(chr, range(ord("A"), ord("Z") + 1))})

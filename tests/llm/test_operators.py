@@ -30,6 +30,7 @@ from martwright.llm import (  # noqa: E402
 )
 from martwright.llm.common import new_folder  # noqa: E402
 from martwright.llm.components import components  # noqa: E402
+from shared import checkpoint_folder  # noqa: E402, F401
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")

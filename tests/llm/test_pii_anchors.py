@@ -10,6 +10,7 @@ pytest.importorskip("ahocorasick")
 
 from martwright.llm import pii_anchors  # noqa: E402
 from martwright.llm.queries import QUERIES  # noqa: E402
+from shared import checkpoint_folder  # noqa: E402, F401
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")

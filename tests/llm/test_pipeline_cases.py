@@ -13,6 +13,7 @@ SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, result string, score double,"
     " kept boolean, `row` string, own int, features int, carried_0 string"
 )
+from shared import checkpoint_folder  # noqa: E402, F401
 
 
 def odd_rows():

@@ -17,6 +17,7 @@ from martwright.llm import (  # noqa: E402
     substring_debruijn,
 )
 from martwright.llm.queries import QUERIES  # noqa: E402
+from shared import checkpoint_folder  # noqa: E402, F401
 
 
 def test_backoff_query_scores_by_other_documents(spark, tmp_path):
