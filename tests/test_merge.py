@@ -2,7 +2,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from martwright.operators import merge
+from martwright.operators import lookups, merge
 
 D = datetime.date
 
@@ -120,3 +120,26 @@ def test_ledger_rows_never_change(spark):
         ("1", 1, 1), ("2", 1, 2), ("3", 1, 3),
     }
     assert merge.ledger_additions(once, spark.createDataFrame([("3", 5)], schema)).isEmpty()
+
+
+def test_only_an_increment_of_few_rows_goes_to_every_task(spark, tmp_path):
+    """Stored rows may be much smaller than in memory, so their files' size does not decide."""
+    ids = spark.range(150_000).select(F.col("id").cast("string").alias("customer_id"), F.lit("x").alias("tier"))
+    ids.write.parquet(f"{tmp_path}/all")
+    ids.limit(50).write.parquet(f"{tmp_path}/few")
+    everything, few = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("all", "few"))
+    current = everything.withColumn("effective_start_date", F.lit(D(2024, 1, 1)))
+
+    def broadcasts(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange")
+
+    for increment, expected in ((everything, False), (few, True)):
+        for plan in (
+            lookups.matching(everything, increment, "customer_id"),
+            lookups.new_keys(increment, everything, "customer_id"),
+            lookups.carry_key(increment, everything.withColumn("sk", F.lit(1)), "customer_id", "sk"),
+            merge.classify_changes(increment, current),
+        ):
+            assert (broadcasts(plan) > 0) == expected
+    assert lookups.new_keys(few, everything.unionByName(few), "customer_id").isEmpty()
+    assert lookups.new_keys(everything, few, "customer_id").count() == 150_000 - 50
