@@ -143,3 +143,18 @@ def test_orphans_and_nulls(spark):
     assert orphans == {"customer_sk": 1, "product_sk": 1, "promotion_sk": 0, "date_sk": 0}
     nulls = {r.key: r.nulls for r in audit.fact_key_nulls(fact).collect()}
     assert nulls == {"customer_sk": 0, "product_sk": 1, "promotion_sk": 0, "date_sk": 0}
+
+
+def test_feed_files_are_compressed_and_found_beside_plain_ones(spark, tmp_path):
+    names = list(SOURCE_COLUMNS["product"])
+    rows = spark.range(2000).coalesce(1).select(*[F.concat(F.lit(f"{c}-"), "id").alias(c) for c in names])
+    files.write_text_csv(rows, f"{tmp_path}/packed/product")
+    rows.write.option("header", True).csv(f"{tmp_path}/plain/product")
+    sizes = {
+        r.path.split(str(tmp_path))[1].split("/")[1]: r.length
+        for r in files.list_feed_files(spark, str(tmp_path), "product").collect()
+    }
+    assert sizes["packed"] * 3 < sizes["plain"]
+    for per_file in (False, True):
+        feed = files.read_entity_feed(spark, str(tmp_path), "product", per_file=per_file)
+        assert feed.groupBy(*names).count().filter("count = 2").count() == 2000
