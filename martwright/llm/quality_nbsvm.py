@@ -19,11 +19,12 @@ no rows.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import Words, stored, text_slices
+from martwright.llm.common import Words, release_memory, stored, text_slices
 
 #: Labelled rows learned from at most.
 MAX_ROWS = 12_000
@@ -204,15 +205,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     text = F.min_by("text", F.xxhash64("text")).alias("text")
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.first("good").alias("good"), text)
     table = rows.select(held("text").alias("features"), "good", order.alias("place"), "doc_id")
-    table = table.toArrow().sort_by([("place", "ascending"), ("doc_id", "ascending")]).combine_chunks()
-    good = table["good"].to_numpy() == 1
-    column = table["features"].combine_chunks()
-    if not len(good):
-        return fit_rows([], good)
-    ends = column.offsets.to_numpy()
-    values = column.values.to_numpy()
-    lists = [np.sort(values[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
-    return fit_rows(lists, good)
+    # The driver lives on beside later work, so it holds the rows once and gives their memory back.
+    # They stay as they came and are visited in order; a row's features are ascending.
+    table = table.toArrow()
+    places = pc.sort_indices(table, [("place", "ascending"), ("doc_id", "ascending")]).to_numpy()
+    good = table["good"].to_numpy()[places] == 1
+    lists = []
+    for part in table["features"].chunks:
+        ends, values = part.offsets.to_numpy(), part.values.to_numpy()
+        lists += [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+    lists = [lists[i] for i in places]
+    del table
+    try:
+        return fit_rows(lists, good)
+    finally:
+        del lists
+        release_memory()
 
 
 def score_column(model: Model, text: str = "text") -> Column:

@@ -1,7 +1,9 @@
 """The classifier's fit and the forest's scores against plain versions."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.llm import isolation_rules, quality_nbsvm
 
@@ -113,3 +115,23 @@ def test_forest_scores_equal_plain_paths():
             paths.append(plain_path(row, list(members), tree, limit))
         assert score == pytest.approx(2 ** (-np.mean(paths) / usual_depth(per_tree)), abs=1e-8)
     assert scores[30:].mean() > scores[:30].mean()
+
+
+def test_fit_gives_its_memory_back_and_keeps_rows_in_order(spark, monkeypatch):
+    """The driver holds the learned rows once, in the order of their hashes, and not after."""
+    docs = spark.range(40).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("words of "), F.col("id").cast("string")).alias("text")
+    )
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    seen = []
+    monkeypatch.setattr(quality_nbsvm, "fit_rows", lambda lists, good: seen.append((lists, good)))
+    monkeypatch.setattr(quality_nbsvm, "release_memory", lambda: seen.append("released"))
+    quality_nbsvm.fit(docs.repartition(5), labels)
+    (lists, good), last = seen
+    assert last == "released"
+    learned = docs.filter(~quality_nbsvm.is_held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    assert good.tolist() == [row.doc_id % 2 == 1 for row in learned]
+    for own, row in zip(lists, learned, strict=True):
+        assert own.tolist() == quality_nbsvm.features(pa.array([row.text]))[1].tolist()
+        # Part of what came, not a copy.
+        assert own.base is not None
