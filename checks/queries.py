@@ -22,7 +22,7 @@ from martwright.operators import audit, cleanse, dedup, kpis, lookups, merge, st
 from martwright.operators.keys import dense_key, id_order
 from martwright.plans import medallion
 from martwright.sources import catalog, files, provenance
-from martwright.sources.staging import new_folder, stage
+from martwright.sources.staging import new_folder, stage, stage_by
 from martwright.sources.tables import SnapshotTable
 
 AS_OF = "2001-12-31"
@@ -92,9 +92,14 @@ def first_ledger(spark, sf_dir):
     return merge.initialize_ledger(cleaned_plan(spark, sf_dir, "src_sales_hist"))
 
 
+def sales_increment(spark, sf_dir):
+    """The cleaned increment, stored by the key that the ledger is searched for."""
+    return stage_by(cleaned_plan(spark, sf_dir, "src_sales_inc"), merge.SALES_KEY)
+
+
 def merged_ledger(spark, sf_dir):
     return merge.append_ledger(
-        first_ledger(spark, sf_dir), cleaned(spark, sf_dir, "src_sales_inc")
+        first_ledger(spark, sf_dir), sales_increment(spark, sf_dir)
     )
 
 
@@ -659,7 +664,7 @@ def merge_idempotency(spark, sf_dir):
     the repetition, and rows that differ."""
     customers_inc = cleaned(spark, sf_dir, "src_customer_versions")
     products_inc = product_increment(spark, sf_dir)
-    sales_inc = cleaned(spark, sf_dir, "src_sales_inc")
+    sales_inc = sales_increment(spark, sf_dir)
     steps = {
         "customer": (
             stage(first_customers(spark, sf_dir)),

@@ -26,6 +26,7 @@ from martwright.operators.dedup import (
     latest_by_version,
     one_by_payload,
 )
+from martwright.sources.staging import stage_by
 
 
 def _present(df: DataFrame, columns: Iterable[str]) -> list[str]:
@@ -98,8 +99,9 @@ def clean_product(df: DataFrame) -> DataFrame:
 
 
 def clean_sales(df: DataFrame) -> DataFrame:
-    """The most recently ingested row of each transaction."""
-    rows = _keyed_and_blanked(df, SALES_RULES)
+    """The most recently ingested row of each transaction. The feed is stored in buckets of its
+    key, so that its rows are ranked without a shuffle."""
+    rows = stage_by(_keyed_and_blanked(df, SALES_RULES), SALES_RULES.key)
     return apply_types(latest_by_ingest(rows, SALES_RULES.key), SALES_RULES)
 
 

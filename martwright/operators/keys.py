@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.functions.parsing import to_whole
-from martwright.sources.staging import stage
+from martwright.sources.staging import stage, stage_by
 
 _POSITION = "_position"
 _RUN = "_run"
@@ -49,6 +49,30 @@ def dense_key(
     )
 
 
+def dense_key_by(
+    df: DataFrame, key: str, name: str, after: DataFrame | int | None = None
+) -> DataFrame:
+    """Number rows as dense_key does in the id_order of a key; rows that share a key, or have
+    none, follow each other in any order.
+
+    Only the keys are sorted. Rows are written once, in buckets of the key, and meet their
+    numbers there, so no whole row is shuffled for it.
+    """
+    rows = stage_by(df.drop(name), key)
+    numbers = stage_by(dense_key(rows.select(key), id_order(key), "_number"), key)
+    first = numbers.groupBy(key).agg(F.min("_number").alias("_first"))
+    # Rows without a key come first in the order and meet no number.
+    start = greatest_key(after, name) + F.coalesce(F.col("_first"), F.lit(1))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    # Never by the size of the files, which is a small part of the keys' size in memory.
+    return (
+        rows.withColumn("_nth", nth)
+        .join(first.hint("shuffle_merge"), key, "left")
+        .withColumn(name, (start + F.col("_nth") - 1).cast("bigint"))
+        .select(*rows.columns, name)
+    )
+
+
 def greatest_key(df: DataFrame | int | None, name: str) -> Column:
     """Greatest key, of a table as a scalar subquery; 0 for no table or an empty one."""
     if df is None or isinstance(df, int):

@@ -14,7 +14,7 @@ from martwright.contracts import OPTIONAL_COLUMNS, PROVENANCE
 from martwright.functions.hashing import row_hash
 from martwright.functions.parsing import to_day, to_whole
 from martwright.operators.dedup import keep_first
-from martwright.operators.keys import dense_key, id_order
+from martwright.operators.keys import dense_key, dense_key_by, id_order
 from martwright.operators.lookups import carry_key, is_small, matching, new_keys, spread
 from martwright.sources.files import padded_union
 
@@ -289,7 +289,7 @@ def upsert_products(
 
 
 def initialize_ledger(historical: DataFrame) -> DataFrame:
-    return dense_key(historical, id_order(SALES_KEY), SALES_SK)
+    return dense_key_by(historical, SALES_KEY, SALES_SK)
 
 
 # Stored ids are dealt into so many parts by their hash.
@@ -314,9 +314,9 @@ def ledger_additions(
 ) -> DataFrame:
     """Transactions the ledger lacks, keyed on from its greatest key; with that given, the
     target need only hold the ids."""
-    return dense_key(
+    return dense_key_by(
         new_keys(source.drop(SALES_SK), target, SALES_KEY),
-        id_order(SALES_KEY),
+        SALES_KEY,
         SALES_SK,
         after=target if greatest is None else greatest,
     )

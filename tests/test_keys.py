@@ -1,8 +1,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from martwright.operators.keys import dense_key, id_order
+from martwright.operators.keys import dense_key, dense_key_by, id_order
 from martwright.sources.staging import stage
+from tests.conftest import final_plan
 
 
 def test_equals_the_global_row_number(spark):
@@ -46,3 +47,15 @@ def test_goes_on_from_the_greatest_key(spark):
     assert dense_key(df.limit(0), id_order("k"), "sk", after=target).count() == 0
     fresh = dense_key(df, id_order("k"), "sk", after=target.limit(0))
     assert sorted(r.sk for r in fresh.collect()) == [1, 2]
+
+
+def test_keys_by_a_text_id_shuffle_no_whole_row(spark):
+    ids = ["10", "9", None, "x", "2.0", "9", None, "", "-1"]
+    rows = spark.createDataFrame([(k, f"row {i}") for i, k in enumerate(ids)], "id string, payload string")
+    numbered = dense_key_by(rows, "id", "sk", after=100)
+    by_key = sorted((r.sk, r.id) for r in numbered.collect())
+    sorted_whole = dense_key(rows, id_order("id"), "sk", after=100)
+    assert by_key == sorted((r.sk, r.id) for r in sorted_whole.collect())
+    assert sorted(r.payload for r in numbered.collect()) == sorted(f"row {i}" for i in range(len(ids)))
+    assert "Exchange" not in final_plan(numbered)
+    assert dense_key_by(rows.limit(0), "id", "sk").count() == 0

@@ -3,6 +3,8 @@ import datetime
 from pyspark.sql import functions as F
 
 from martwright.operators import lookups, merge
+from martwright.sources.staging import stage_by
+from tests.conftest import final_plan
 
 D = datetime.date
 
@@ -143,3 +145,16 @@ def test_only_an_increment_of_few_rows_goes_to_every_task(spark, tmp_path):
             assert (broadcasts(plan) > 0) == expected
     assert lookups.new_keys(few, everything.unionByName(few), "customer_id").isEmpty()
     assert lookups.new_keys(everything, few, "customer_id").count() == 150_000 - 50
+
+
+def test_a_stored_increment_meets_the_ledger_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "INCREMENT_BYTES", 0)
+    rows = spark.range(3000).selectExpr("cast(id as string) transaction_id", "id quantity")
+    target = merge.initialize_ledger(rows.filter("id < 2000"))
+    source = stage_by(rows.filter("id >= 1500").withColumn("quantity", F.lit(-1)), "transaction_id")
+    added = lookups.new_keys(source, target, "transaction_id")
+    assert "Exchange" not in final_plan(added)
+    ledger = {int(r.transaction_id): (r.sales_sk, r.quantity) for r in merge.append_ledger(target, source).collect()}
+    assert ledger == {i: (i + 1, i if i < 2000 else -1) for i in range(3000)}
+    entries = [t.name for t in spark.catalog.listTables() if t.name.startswith("martwright_")]
+    assert entries == []
