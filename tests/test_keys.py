@@ -2,6 +2,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martwright.operators.keys import dense_key, dense_key_by, id_order
+from martwright.sources import staging
 from martwright.sources.staging import stage
 from tests.conftest import final_plan
 
@@ -59,3 +60,17 @@ def test_keys_by_a_text_id_shuffle_no_whole_row(spark):
     assert sorted(r.payload for r in numbered.collect()) == sorted(f"row {i}" for i in range(len(ids)))
     assert "Exchange" not in final_plan(numbered)
     assert dense_key_by(rows.limit(0), "id", "sk").count() == 0
+
+
+def test_a_bucket_that_a_hot_key_fills_is_not_read_by_one_task(spark, monkeypatch):
+    monkeypatch.setattr(staging, "BUCKET_ROWS", 100)
+    rows = spark.range(1000).selectExpr("if(id % 3 = 0, cast(id as string), 'hot') id", "id n")
+    hot, even = staging.stage_by(rows, "id"), staging.stage_by(rows.filter("id != 'hot'"), "id")
+    assert "Exchange" in final_plan(hot.groupBy("id").count())
+    assert "Exchange" not in final_plan(even.groupBy("id").count())
+    assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, rows.collect()))
+    numbered = dense_key_by(rows, "id", "sk")
+    assert sorted(r.sk for r in numbered.collect()) == list(range(1, 1001))
+    # Ids that are no numbers come first.
+    assert numbered.filter("id = 'hot'").agg(F.min("sk"), F.max("sk")).first()[:] == (1, 666)
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("martwright_")] == []
