@@ -8,8 +8,9 @@ whole contract as text plus `ingested_at`. `{ntz}` names the zone-less timestamp
 Historical and incremental feeds are date windows of orders and shipments. The sales
 windows overlap by two months, as an extract that resends late transactions would.
 
-Within `shared_lines` the sales feeds that are read often come from one stored join of the
-lines with their orders, from which each selects its own as its SQL says.
+Within `shared_lines` lines and orders are stored once, in buckets of the order. The sales
+feeds that are read often come from one stored join of them, and those that their reader
+stores join the buckets; each selects its own as its SQL says.
 """
 
 import tempfile
@@ -20,7 +21,7 @@ from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martwright.sources.staging import SETTING, new_folder
+from martwright.sources.staging import SETTING, stage, stage_by, stage_by_counted
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -66,11 +67,17 @@ from lineitem join orders on l_orderkey = o_orderkey
 _SALES_LINES = _SALES[_SALES.index("from lineitem") :]
 _LINE_COLUMNS = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    "l_discount", "l_returnflag", "l_linestatus", "l_shipdate", "o_orderdate", "o_custkey", "n_name",
+    "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
 )
+_ORDER_COLUMNS = ("o_orderkey", "o_orderdate", "o_custkey")
+_FEED_COLUMNS = (*_LINE_COLUMNS, *_ORDER_COLUMNS[1:], "n_name")
 
-# Stored lines of the tables that the query at work reads.
-_lines: ContextVar[dict[str, DataFrame] | None] = ContextVar("lines", default=None)
+# Lines that a task joins at most, and that are worth a task: one that writes buckets sorts
+# its rows, and writes a file for each.
+MOST_LINES, LEAST_LINES = 1_500_000, 50_000
+
+# Joined lines of the tables that the query at work reads, and whether they are stored.
+_lines: ContextVar[dict[tuple[str, bool], DataFrame] | None] = ContextVar("lines", default=None)
 
 _CUSTOMER = """
 select %(id)s as customer_id,
@@ -217,7 +224,7 @@ def read_tables(spark: SparkSession, sf_dir: str) -> None:
 
 @contextmanager
 def shared_lines() -> Iterator[None]:
-    """Feeds read often share the join of lines and orders that the first of them has stored."""
+    """Feeds read often share the lines and orders that the first of them has stored."""
     token = _lines.set({})
     try:
         yield
@@ -225,16 +232,31 @@ def shared_lines() -> Iterator[None]:
         _lines.reset(token)
 
 
-def feed(spark: SparkSession, sf_dir: str, name: str, often: bool = False) -> DataFrame:
-    """A feed; one that is read `often` should not join lines and orders each time."""
+def _joined_lines(spark: SparkSession) -> DataFrame:
+    """Lines with their orders, whose buckets meet without a shuffle."""
+    lines, n = stage_by_counted(spark.table("lineitem").select(*_LINE_COLUMNS), "l_orderkey")
+    orders = stage_by(spark.table("orders").select(*_ORDER_COLUMNS), "o_orderkey")
+    lines.createOrReplaceTempView("stored_lines")
+    orders.createOrReplaceTempView("stored_orders")
+    stored = _SALES_LINES.replace("lineitem", "stored_lines").replace("orders", "stored_orders")
+    joined = spark.sql(f"select {', '.join(_FEED_COLUMNS)} {stored}")
+    at_once = min(spark.sparkContext.defaultParallelism, n // LEAST_LINES + 1)
+    return joined.coalesce(max(at_once, n // MOST_LINES + 1))
+
+
+def feed(
+    spark: SparkSession, sf_dir: str, name: str, often: bool = False, to_store: bool = False
+) -> DataFrame:
+    """A feed; one that is read `often` should not join lines and orders each time, and one that
+    is read once, `to_store` it, should not shuffle them."""
     read_tables(spark, sf_dir)
     sql, lines = feed_sql(name, "timestamp_ntz"), _lines.get()
-    if often and lines is not None and _SALES_LINES in sql:
-        if sf_dir not in lines:
-            joined = spark.sql(f"select {', '.join(_LINE_COLUMNS)} {_SALES_LINES}")
-            folder = new_folder(spark)
-            joined.write.option("compression", "zstd").parquet(folder)
-            lines[sf_dir] = spark.read.schema(joined.schema).parquet(folder)
-        lines[sf_dir].createOrReplaceTempView("sales_lines")
+    if (often or to_store) and lines is not None and _SALES_LINES in sql:
+        joined, stored = (sf_dir, False), (sf_dir, True)
+        if joined not in lines:
+            lines[joined] = _joined_lines(spark)
+        if often and stored not in lines:
+            lines[stored] = stage(lines[joined].select(*_FEED_COLUMNS))
+        lines[stored if often else joined].createOrReplaceTempView("sales_lines")
         sql = sql.replace(_SALES_LINES, "from sales_lines\n")
     return spark.sql(sql)

@@ -88,13 +88,20 @@ def merged_products(spark, sf_dir):
     )
 
 
+def ledger_rows(spark, sf_dir, name) -> DataFrame:
+    """A cleaned sales feed for a single reader. The feed is stored in buckets of the ledger's
+    key, so that no whole row is shuffled to be ranked, numbered or searched for."""
+    rows = cleanse.require_key(feed(spark, sf_dir, name, to_store=True), merge.SALES_KEY)
+    return cleanse.clean_sales(stage_by(rows, merge.SALES_KEY))
+
+
 def first_ledger(spark, sf_dir):
-    return merge.initialize_ledger(cleaned_plan(spark, sf_dir, "src_sales_hist"))
+    return merge.initialize_ledger(ledger_rows(spark, sf_dir, "src_sales_hist"))
 
 
 def sales_increment(spark, sf_dir):
     """The cleaned increment, stored by the key that the ledger is searched for."""
-    return stage_by(cleaned_plan(spark, sf_dir, "src_sales_inc"), merge.SALES_KEY)
+    return stage_by(ledger_rows(spark, sf_dir, "src_sales_inc"), merge.SALES_KEY)
 
 
 def merged_ledger(spark, sf_dir):

@@ -157,8 +157,9 @@ def fact_sales(
             "promotion_id": promotion_number(),
         }
     )
-    found = lookup_as_of(dated, customers, "customer_id", day, "customer_sk", unknown)
-    found = lookup(found, products, ["product_id"], "product_sk", unknown, "dim_product" in small)
+    # Promotions are few: found first, their ids go no further.
     pair = ["promotion_id", "promotion_type"]
-    found = lookup(found, promotions, pair, "promotion_sk", unknown, "dim_promotion" in small)
+    found = lookup(dated, promotions, pair, "promotion_sk", unknown, "dim_promotion" in small)
+    found = lookup_as_of(found, customers, "customer_id", day, "customer_sk", unknown)
+    found = lookup(found, products, ["product_id"], "product_sk", unknown, "dim_product" in small)
     return found.select(*FACT_COLUMNS, *carry)

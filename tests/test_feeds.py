@@ -2,7 +2,8 @@
 
 import datetime
 
-from checks import feeds
+from checks import feeds, queries
+from martwright.operators import cleanse
 from martwright.sources.staging import stage
 from tests.conftest import final_plan
 
@@ -55,6 +56,27 @@ def test_sales_feeds_of_a_query_share_one_join(spark, tmp_path):
     assert "Join" in final_plan(once)
 
 
+def test_the_ledgers_rows_are_joined_and_ranked_without_a_shuffle(spark, tmp_path, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    sf_dir = _tables(spark, tmp_path)
+    names = ("src_sales", "src_sales_hist", "src_sales_inc")
+    plain = {name: feeds.feed(spark, sf_dir, name) for name in names}
+    assert "Exchange" in final_plan(cleanse.clean_sales(plain["src_sales"]))
+    with feeds.shared_lines():
+        lines = feeds.feed(spark, sf_dir, "src_sales", to_store=True)
+        rows = {name: queries.ledger_rows(spark, sf_dir, name) for name in names}
+    # Lines and orders meet in their buckets; suppliers and nations still travel.
+    assert "hashpartitioning(l_orderkey" not in final_plan(lines)
+    assert "hashpartitioning(l_orderkey" in final_plan(plain["src_sales"])
+    assert sorted(map(str, lines.collect())) == sorted(map(str, plain["src_sales"].collect()))
+    for name in names:
+        assert "Exchange" not in final_plan(rows[name])
+        cleaned = cleanse.clean_sales(plain[name])
+        assert rows[name].schema == cleaned.schema
+        assert sorted(map(str, rows[name].collect())) == sorted(map(str, cleaned.collect()))
+    assert [rows[name].count() for name in names] == [3, 1, 2]
+
+
 def test_a_staged_frame_is_stored_small(spark):
     files = stage(spark.range(10)).inputFiles()
     assert files and all(".zstd." in name for name in files)
