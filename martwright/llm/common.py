@@ -80,6 +80,14 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def text_list(words: pa.Array) -> list[str]:
+    """Words, of UTF-8 without a line feed, decoded all at once."""
+    if not len(words):
+        return []
+    data, offsets = buffers(words)
+    return np.insert(data, offsets[1:-1], 0x0A).tobytes().decode().split("\n")
+
+
 class Words:
     """The words `[^\\x20\\x09-\\x0D]+` of several texts, one after the other.
 

@@ -102,13 +102,15 @@ class _Table:
 
 
 class _Model:
-    """Predictions of orders 1 and 2 for so many blocks, as ranks, -1 for none yet; the
-    blocks' contexts lie one after the other."""
-
-    def __init__(self, lanes: int):
-        self.after_one = np.full(lanes * _CONTEXTS, -1, np.int32)
-        self.after_two = np.full(lanes * _CONTEXTS, -1, np.int32)
-        self.row = np.arange(lanes, dtype=np.int32) * _CONTEXTS
+    """Predictions of orders 1 and 2 for so many blocks, as ranks below `kinds`, in as few
+    bytes as hold them; the blocks' contexts lie one after the other."""
+
+    def __init__(self, lanes: int, kinds: int):
+        # What stands for no prediction yet.
+        self.kind, self.none = (np.uint16, 0xFFFF) if kinds <= 0xFFFF else (np.int32, -1)
+        self.after_one = np.full(lanes * _CONTEXTS, self.none, self.kind)
+        self.after_two = np.full(lanes * _CONTEXTS, self.none, self.kind)
+        self.row = np.arange(lanes) * _CONTEXTS
         self.rate_one = np.full(lanes, _FIRST_RATE, np.int32)
         self.rate_two = np.full(lanes, _FIRST_RATE, np.int32)
 
@@ -116,20 +118,37 @@ class _Model:
         """Shares of the next id of the first blocks, whose contexts are given."""
         k = len(at_one)
         self.at_one, self.at_two = at_one, at_two
-        self.one = self.after_one.take(at_one)
-        self.two = self.after_two.take(at_two)
+        self.one = self.after_one.take(at_one).astype(np.int32)
+        self.two = self.after_two.take(at_two).astype(np.int32)
         # A prediction has a share where it exists; order 1 only where it differs.
-        self.share_two = (self.rate_two[:k] >> 6) * (self.two >= 0)
-        self.has_one = (self.one >= 0) & (self.one != self.two)
+        self.has_two = self.two != self.none
+        self.share_two = (self.rate_two[:k] >> 6) * self.has_two
+        self.has_one = (self.one != self.none) & (self.one != self.two)
         self.share_one = (self.rate_one[:k] * (_ALL - self.share_two) >> 16) * self.has_one
         self.taken = self.share_two + self.share_one
         self.rest = _ALL - self.taken
 
+    def place(self, table, ranks, hit_two, hit_one):
+        """Start and share of the next ids, of 1 << _TOTAL_BITS. Hits are 0 or 1; a rank in the
+        frequency table counts where there is neither."""
+        miss = 1 - hit_two - hit_one
+        rest, two = self.rest * miss, self.share_two << _TABLE_BITS
+        start = table.starts.take(ranks)
+        start *= rest
+        start += (self.taken << _TABLE_BITS) * miss
+        start += two * hit_one
+        share = table.shares.take(ranks)
+        share *= rest
+        share += two * hit_two
+        share += (self.share_one << _TABLE_BITS) * hit_one
+        return start, share
+
     def learn(self, ranks, hit_two, hit_one) -> None:
         rate = self.rate_two[: len(ranks)]
-        rate += ((hit_two * _TRUE + _LEAST_RATE - rate) >> 5) * (self.two >= 0)
+        rate += ((hit_two * _TRUE + _LEAST_RATE - rate) >> 5) * self.has_two
         rate = self.rate_one[: len(ranks)]
         rate += ((hit_one * _TRUE + _LEAST_RATE - rate) >> 5) * self.has_one
+        ranks = ranks.astype(self.kind)
         self.after_one[self.at_one] = ranks
         self.after_two[self.at_two] = ranks
 
@@ -145,7 +164,7 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
     """Code words and their numbers for the columns of ranks; the last row counts for the
     first `full`."""
     steps, lanes = ranks.shape
-    model = _Model(lanes)
+    model = _Model(lanes, len(table.kinds))
     last = second = np.zeros(lanes, np.int32)
     low, width = np.zeros(lanes, _U), np.full(lanes, 1 << _LOW_BITS, _U)
     # A step takes 28 bits at most, which is two words.
@@ -156,17 +175,10 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
         k = lanes if step < steps - 1 else full
         now, row = ranks[step, :k], model.row[:k]
         model.predict(_context_one(last[:k]) + row, _context_two(last[:k], second[:k]) + row)
-        hit_two = (now == model.two) & (model.share_two > 0)
-        hit_one = (now == model.one) & model.has_one & (model.share_one > 0)
-        start = table.starts.take(now)
-        share = table.shares.take(now)
-        start *= model.rest
-        start += model.taken << _TABLE_BITS
-        share *= model.rest
-        at = np.flatnonzero(hit_two)
-        start[at], share[at] = 0, model.share_two[at] << _TABLE_BITS
-        at = np.flatnonzero(hit_one)
-        start[at], share[at] = model.share_two[at] << _TABLE_BITS, model.share_one[at] << _TABLE_BITS
+        hit_two = ((now == model.two) & (model.share_two > 0)).astype(np.int32)
+        # Order 1 has no share where it has no prediction.
+        hit_one = ((now == model.one) & (model.share_one > 0)).astype(np.int32)
+        start, share = model.place(table, now, hit_two, hit_one)
         unit = width[:k] >> _U(_TOTAL_BITS)
         low[:k] += start.astype(_U) * unit
         np.multiply(share.astype(_U), unit, out=width[:k])
@@ -174,6 +186,14 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
         if len(over):
             words[size[over] - 1] += np.uint32(1)
             low[over] &= _LOW_MASK
+        # Every block names its next word; where none is due, the place is written again.
+        words[size[:k]] = (low[:k] >> _OUT).astype(np.uint32)
+        due = width[:k] < _LEAST_RANGE
+        shift = due * _WORD
+        low[:k] <<= shift
+        low[:k] &= _LOW_MASK
+        width[:k] <<= shift
+        size[:k] += due
         put = np.flatnonzero(width[:k] < _LEAST_RANGE)
         while len(put):
             words[size[put]] = low[put] >> _OUT
@@ -203,7 +223,7 @@ def _encode_lanes(ranks: np.ndarray, full: int, table: _Table):
 def _decode_lanes(words, size, steps: int, full: int, table: _Table, by_slot) -> np.ndarray:
     """The ranks that _encode_lanes has coded, as columns."""
     lanes = len(size)
-    model = _Model(lanes)
+    model = _Model(lanes, len(table.kinds))
     width = np.full(lanes, 1 << _LOW_BITS, _U)
     words = np.append(words, [0] * 8).astype(_U)
     at = np.cumsum(size) - size
@@ -222,20 +242,21 @@ def _decode_lanes(words, size, steps: int, full: int, table: _Table, by_slot) ->
         unit = width[:k] >> _U(_TOTAL_BITS)
         place = np.minimum(code[:k] // unit, _U((1 << _TOTAL_BITS) - 1)).astype(np.int32)
         taken = model.taken << _TABLE_BITS
-        hit_two = place < (model.share_two << _TABLE_BITS)
-        hit_one = (place < taken) & ~hit_two
+        hit_two = (place < (model.share_two << _TABLE_BITS)).astype(np.int32)
+        hit_one = (place < taken).astype(np.int32) - hit_two
         now = by_slot.take((place - taken) // model.rest, mode="clip")
-        start = table.starts.take(now)
-        share = table.shares.take(now)
-        start *= model.rest
-        start += taken
-        share *= model.rest
-        two, one = np.flatnonzero(hit_two), np.flatnonzero(hit_one)
-        start[two], share[two], now[two] = 0, model.share_two[two] << _TABLE_BITS, model.two[two]
-        start[one] = model.share_two[one] << _TABLE_BITS
-        share[one], now[one] = model.share_one[one] << _TABLE_BITS, model.one[one]
+        start, share = model.place(table, now, hit_two, hit_one)
+        now *= 1 - hit_two - hit_one
+        now += model.two * hit_two
+        now += model.one * hit_one
         code[:k] -= start.astype(_U) * unit
         np.multiply(share.astype(_U), unit, out=width[:k])
+        due = width[:k] < _LEAST_RANGE
+        shift = due * _WORD
+        code[:k] <<= shift
+        code[:k] |= turned.take(at[:k]) * due
+        width[:k] <<= shift
+        at[:k] += due
         put = np.flatnonzero(width[:k] < _LEAST_RANGE)
         while len(put):
             code[put] = (code[put] << _WORD) | turned[at[put]]

@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from martwright.llm.common import DistinctIds, Words, gather, release_memory
+from martwright.llm.common import DistinctIds, Words, gather, release_memory, text_list
 
 MARK = "\x7f"
 CACHED = 300_000
@@ -46,9 +46,11 @@ class _Units(Words):
         # A letter after a mark; and the bytes of × and ÷, which are no letters.
         other[1:] |= mark[:-1] & (kind[1:] == _LETTER)
         other[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
-        # White space after a word counts for neither.
-        plain = np.add.reduceat(other, self.starts, dtype=np.int32) == 0
-        marks = np.add.reduceat(mark, self.starts, dtype=np.int32)
+        # Neither is white space, so each lies in the word that begins last before it.
+        plain = np.ones(len(self), dtype=bool)
+        plain[np.searchsorted(self.starts, np.flatnonzero(other), "right") - 1] = False
+        marked = np.searchsorted(self.starts, np.flatnonzero(mark), "right") - 1
+        marks = np.bincount(marked, minlength=len(self))
         cut = self.ends - marks
         both = plain & (marks > 0) & (cut > self.starts)
         self.data = _LOWER[data]
@@ -141,7 +143,7 @@ def token_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, one after the other, and the number of ids of each text."""
     units = _Units(texts)
     index, distinct = units.encoded()
-    flat, starts, counts = load(path).distinct(distinct.cast(pa.large_string()).to_pylist())
+    flat, starts, counts = load(path).distinct(text_list(distinct))
     lengths = counts[index]
     ends = np.concatenate([[0], np.cumsum(lengths)])
     per_text = ends[units.first[1:]] - ends[units.first[:-1]]
