@@ -248,7 +248,7 @@ def feed(
     spark: SparkSession, sf_dir: str, name: str, often: bool = False, to_store: bool = False
 ) -> DataFrame:
     """A feed; one that is read `often` should not join lines and orders each time, and one that
-    is read once, `to_store` it, should not shuffle them."""
+    is read once, `to_store` or to check it, should not shuffle them."""
     read_tables(spark, sf_dir)
     sql, lines = feed_sql(name, "timestamp_ntz"), _lines.get()
     if (often or to_store) and lines is not None and _SALES_LINES in sql:

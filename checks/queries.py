@@ -856,7 +856,7 @@ def silver_invariants(spark, sf_dir):
     products = stage(merged_products(spark, sf_dir))
     good = audit.silver_invariants(customers, products, merged_ledger(spark, sf_dir))
     raw = audit.silver_invariants(
-        customers, products, feed(spark, sf_dir, "src_sales", often=True)
+        customers, products, feed(spark, sf_dir, "src_sales", to_store=True)
     )
     return good.withColumn("stage", F.lit("silver")).unionByName(
         raw.withColumn("stage", F.lit("feed"))
