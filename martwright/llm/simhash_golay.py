@@ -9,9 +9,11 @@ the stored one's codeword is among the probed ones. So a stored key is (half, by
 codeword, the 9 bits), and a second kind of key, (half, byte, the 23 bits), serves halves
 that differ in the 9 bits. Key matches are joined and their distance is counted.
 
-Equal fingerprints are one row with the smallest doc_id, so copies are never paired. The
-join has no hint: adaptive execution splits a key that many fingerprints share, and the
-distance is part of the join's condition, so no unverified pair leaves it.
+Equal fingerprints are one row with the smallest doc_id, so copies are never paired. Joins
+of what grows with the documents are always sort-merge joins: Spark sizes keys like the
+fingerprints they are made of, and stored rows by their compressed files, and would send
+both whole through the driver. Adaptive execution splits a key that many fingerprints share,
+and the distance is part of the join's condition, so no unverified pair leaves it.
 
 Defined cases: null and empty texts have fingerprint zero; a null doc_id is never a
 component's name unless all of its component's are null; repeated rows are returned as
@@ -180,6 +182,11 @@ def fingerprint_table(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return rows.mapInArrow(task, f"doc_id {kind}, print long, text_key long")
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """A join's side that is never broadcast, whatever size Spark takes it for."""
+    return side.hint("shuffle_merge")
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Pairs (u, v), u < v, of the distinct fingerprints `print` within max_bits bits."""
     if not 0 <= max_bits <= MAX_BITS:
@@ -189,7 +196,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     filed = filed.select("key", F.col("print").alias("u"))
     probes = probes.select("key", F.col("print").alias("v"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
-    found = filed.join(probes, (filed.key == probes.key) & (F.col("u") < F.col("v")) & near)
+    found = _shuffled(filed).join(probes, (filed.key == probes.key) & (F.col("u") < F.col("v")) & near)
     return found.select("u", "v").distinct()
 
 
@@ -198,11 +205,11 @@ def _members(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
     table = stored(fingerprint_table(docs, shingle), "fingerprints")
     classes = stored(table.groupBy("print").agg(F.min("doc_id").alias("first")), "classes")
     nodes = components(links(classes, max_bits))
-    member = classes.join(nodes.withColumnRenamed("node", "print"), "print", "left")
+    member = classes.join(_shuffled(nodes.withColumnRenamed("node", "print")), "print", "left")
     member = member.withColumn("component", F.coalesce("component", "print"))
     names = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = stored(member.join(names, "component").select("print", "component", "component_id"), "members")
-    return table.join(named, "print")
+    named = stored(member.join(_shuffled(names), "component").select("print", "component", "component_id"), "members")
+    return table.join(_shuffled(named), "print")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> DataFrame:
@@ -220,6 +227,6 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BITS) -> D
     least = found.groupBy("component").agg(F.min(F.struct("doc_id", "print", "text_key")).alias("least"))
     first = stored(least.select("least.doc_id", "least.text_key"), "kept")
     rows = docs.select("doc_id", _text_key(), F.struct(*names).alias("row"))
-    named = rows.join(first, ["doc_id", "text_key"], "left_semi")
+    named = rows.join(_shuffled(first), ["doc_id", "text_key"], "left_semi")
     one = named.groupBy("doc_id", "text_key").agg(F.min("row").alias("row"))
     return one.select("row.*").unionByName(docs.filter("doc_id is null"))
