@@ -7,6 +7,7 @@ import pytest
 
 from checks import queries
 from martwright.operators.keys import dense_key_by
+from martwright.sources import files
 from martwright.sources.staging import SETTING, stage, stage_by
 from tests.conftest import final_plan
 
@@ -58,6 +59,18 @@ def test_only_the_lake_holds_rows_when_it_is_published(spark, tables, tmp_path,
         assert spark.read.parquet(f"{tmp_path}/staged/martwright/{folder}").count() == 0
 
 
+def test_a_delivery_leaves_only_its_files(spark, tables, tmp_path, conf):
+    conf(SETTING, f"{tmp_path}/staged")
+    paths = queries._deliver(spark, tables)
+    sold = files.read_entity_feed(spark, paths["historical"], "sales")
+    assert sorted(r.transaction_id for r in sold.collect()) == ["10", "10", "17", "9"]
+    root = paths["historical"].split("/delivery")[0]
+    folders = [f for f in os.listdir(f"{tmp_path}/staged/martwright") if not root.endswith(f)]
+    assert folders
+    for folder in folders:
+        assert spark.read.parquet(f"{tmp_path}/staged/martwright/{folder}").count() == 0
+
+
 def test_rows_in_buckets_are_numbered_without_another_copy(spark, tmp_path, conf):
     conf(SETTING, f"{tmp_path}/staged")
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
